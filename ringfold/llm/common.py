@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a work path that nothing reads any more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, which may not have it installed. Once for each context."""
+    context = spark.sparkContext
+    if getattr(context, "_ringfold_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    out = Path(tempfile.mkdtemp(prefix="ringfold-")) / f"{top.name}.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for p in top.rglob("*.py"):
+            z.write(p, p.relative_to(top.parent))
+    context.addPyFile(str(out))
+    context._ringfold_shipped = True
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """mapInArrow with a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, packing, simhash, substrings
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op6_simhash": simhash.op6_simhash,
+    "op7_packing": packing.op7_packing,
+    "op9_substrings": substrings.op9_substrings,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
