@@ -40,6 +40,8 @@ def digest_state(rows: DataFrame, path: str, max_files_per_trigger: int) -> Data
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+        # many small stores: no disk is set aside ahead of use
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
         "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"),
     }.items():
         own.conf.set(k, v)
