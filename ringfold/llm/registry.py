@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_rules, simhash, substrings
+from . import exact_dedup, mixing, packing, quality_rules, rule_ensemble, simhash, substrings
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_rule_ensemble": rule_ensemble.op3_rule_ensemble,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
     "op9_substrings": substrings.op9_substrings,
