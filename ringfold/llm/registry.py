@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_rules, rule_ensemble, simhash, substrings
+from . import exact_dedup, mixing, packing, quality_rules, rule_ensemble, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_rule_ensemble": rule_ensemble.op3_rule_ensemble,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_substrings": substrings.op9_substrings,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }

@@ -68,4 +68,4 @@ def rolling(values: np.ndarray, width: int, base: int) -> np.ndarray:
         if span > width:
             return out
         block = block[: len(block) - span // 2] * power + block[span // 2 :]
-        power = power * power
+        power = np.uint64(int(power) ** 2 % 2**64)
