@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, maxent, mixing, packing, quality_rules, rule_ensemble, simhash, substrings, toxicity
+from . import exact_dedup, maxent, mixing, packing, pii, quality_rules, rule_ensemble, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_rule_ensemble": rule_ensemble.op3_rule_ensemble,
     "op4_maxent": maxent.op4_maxent,
+    "op5_pii_surrogates": pii.op5_pii_surrogates,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
     "op8_toxicity": toxicity.op8_toxicity,
