@@ -112,6 +112,32 @@ def exact_dedup(docs: DataFrame, key=sha256, max_files_per_trigger: int = 10_000
     )
 
 
+def keep_last(docs: DataFrame) -> DataFrame:
+    """The documents that stay, with all their columns.
+
+    Rows to drop are named by doc_id and digest; where rows agree in both, one of them is taken.
+    """
+    found = staged(exact_dedup(docs), "dedup-rows-judged")
+    lost = found.filter("NOT kept")
+    other = lost.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256").distinct()
+    same = lost.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256").distinct()
+    sized = lambda df: F.broadcast(df) if df.count() <= BROADCAST_GROUPS else df
+    names = [f"`{c}`" for c in docs.columns]
+    rows = docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")), 256)).alias("d")
+
+    def of(keys: DataFrame, how: str) -> DataFrame:
+        keys = sized(keys.toDF("__id", "__key"))
+        return rows.join(
+            keys, F.col("d.__sha").eqNullSafe(F.col("__key")) & F.col("d.doc_id").cast("long").eqNullSafe(F.col("__id")), how
+        )
+
+    rows = of(other, "left_anti").alias("d")
+    if same.isEmpty():
+        return rows.select(*names)
+    once = of(same, "left_semi").dropDuplicates(["doc_id", "__sha"])
+    return of(same, "left_anti").select(*names).unionByName(once.select(*names))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")

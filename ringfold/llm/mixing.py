@@ -59,51 +59,86 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     )
 
 
+def _measured(docs: DataFrame, seed: str) -> DataFrame:
+    """docs with src, size, key and range, all with a __ before their names."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), doc_id)), 1, 15), 16, 10).cast("long")
+    return docs.withColumns(
+        {
+            "__src": F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")),
+            "__size": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"),
+            "__key": key,
+            "__range": F.shiftrightunsigned(key, 60 - RANGE_BITS).cast("int"),
+        }
+    )
+
+
+def _dealt(rows: DataFrame, ranges: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """Add source_size, target, epochs, cut and taken to measured rows. ranges: the sizes of all ranges."""
+    sums = targets(
+        ranges.groupBy("__src", "source").agg(F.sum("range_size").alias("source_size")).withColumnRenamed("__src", "src"),
+        weights,
+        max_epochs,
+    )
+    before = W.partitionBy("__src").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        ranges.select("__src", "__range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("__start"))
+        .join(sums.select(F.col("src").alias("__src"), "source_size", "target").toDF("__src", "__source_size", "__target"), "__src")
+    )
+    inside = (
+        W.partitionBy("__src", "__range").orderBy("__key", "doc_id", "__size").rowsBetween(W.unboundedPreceding, -1)
+    )
+    size, total = F.col("__size"), F.col("__source_size")
+    epochs = F.when(total > 0, F.floor(F.col("__target") / total)).otherwise(0).cast("long")
+    rest = F.floor(F.col("__target") - F.col("__epochs") * total + 0.5).cast("long")
+    return (
+        rows.join(starts, ["__src", "__range"])
+        .withColumn("__before", F.col("__start") + F.coalesce(F.sum("__size").over(inside), F.lit(0)))
+        .withColumn("__epochs", epochs)
+        .withColumn("__cut", F.greatest(F.lit(0), F.least(size, rest - F.col("__before"))))
+        .withColumn("__taken", F.col("__epochs") * size + F.col("__cut"))
+    )
+
+
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "mix"
 ) -> DataFrame:
-    """One row per document: row, doc_id, source, size, source_size, target, epochs, cut, taken.
+    """One row per document: doc_id, source, size, source_size, target, epochs, cut, taken.
 
     The mix takes the document `epochs` times whole and then its first `cut` words.
     """
-    source = F.col("source").cast("string")
-    base = staged(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id",
-            source.alias("source"),
-            F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("src"),
-            F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-            F.conv(
-                F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15),
-                16,
-                10,
-            )
-            .cast("long")
-            .alias("key"),
-        ).withColumn("range", F.shiftrightunsigned("key", 60 - RANGE_BITS).cast("int")),
-        "mix-base",
-    )
-    ranges = base.groupBy("src", "source", "range").agg(F.sum("size").alias("range_size"))
-    sums = targets(ranges.groupBy("src", "source").agg(F.sum("range_size").alias("source_size")), weights, max_epochs)
-    starts = ranges.select(
-        "src",
-        "range",
-        F.coalesce(
-            F.sum("range_size").over(W.partitionBy("src").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("start"),
-    ).join(sums.drop("source"), "src")
-    inside = W.partitionBy("src", "range").orderBy("key", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.floor(F.col("target") - F.col("epochs") * F.col("source_size") + 0.5).cast("long")
-    return (
-        base.join(starts, ["src", "range"])
-        .withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .withColumn("epochs", epochs)
-        .withColumn("cut", F.greatest(F.lit(0), F.least("size", rest - F.col("before"))))
-        .withColumn("taken", F.col("epochs") * F.col("size") + F.col("cut"))
-        .select("row", "doc_id", "source", "size", "source_size", "target", "epochs", "cut", "taken")
+    rows = _measured(docs.select("doc_id", F.col("source").cast("string").alias("source"), "text"), seed).drop("text")
+    rows = staged(rows, "mix-base")
+    ranges = rows.groupBy("__src", "source", "__range").agg(F.sum("__size").alias("range_size"))
+    found = _dealt(rows, ranges, weights, max_epochs)
+    return found.select("doc_id", "source", *[F.col(f"__{c}").alias(c) for c in ("size", "source_size", "target", "epochs", "cut", "taken")])
+
+
+def mixed_documents(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "mix"
+) -> DataFrame:
+    """The mix itself, with the columns of docs: a row for each time a document is taken. The last
+    document of a source may be cut at the budget's last word; its n_chars follows."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = _measured(docs.select(*names), seed)
+    slim = staged(rows.select("__src", F.col("source").cast("string").alias("source"), "__range", "__size"), "mix-base")
+    ranges = staged(slim.groupBy("__src", "source", "__range").agg(F.sum("__size").alias("range_size")), "mix-ranges")
+    found = _dealt(rows, ranges, weights, max_epochs)
+    times = F.flatten(
+        F.array(
+            F.array_repeat(F.lit(False), F.col("__epochs").cast("int")),
+            F.array_repeat(F.lit(True), F.when(F.col("__cut") > 0, 1).otherwise(0)),
+        )
     )
+    found = found.withColumn("__part", F.explode(times))
+    part = F.col("__part") & (F.col("__cut") < F.col("__size"))
+    spaced = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    text = F.when(part, F.array_join(F.slice(spaced, 1, F.col("__cut").cast("int")), "")).otherwise(F.col("text"))
+    out = found.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(part, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*names)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,13 +66,16 @@ def fingerprint(text: bytes, width: int = WIDTH, seed: int = SEED) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.fromiter((fingerprint(t.as_py() or b"") for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        found = np.fromiter((fingerprint(t.as_py() or b"") for t in batch.column(2)), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "rid", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.col("text"), "UTF-8").alias("text"))
-    return map_arrow(rows, _fingerprints, "doc_id long, fp long")
+    """doc_id, rid (a hash of doc_id and text) and fp of every document."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rid"), F.encode(F.col("text"), "UTF-8").alias("text")
+    )
+    return map_arrow(rows, _fingerprints, "doc_id long, rid long, fp long")
 
 
 def unary(fp: str = "fp"):
@@ -185,15 +188,31 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: doc_id, fp (signed long) and component_id."""
+    """One row per document: doc_id, rid, fp (signed long), component_id and the rid of the one that stays."""
     if max_bits > len(PARTS) - 2:
         raise ValueError(f"the grid finds distances up to {len(PARTS) - 2}")
     rows = staged(fingerprints(docs), "fingerprints")
-    nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-nodes")
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "rid")).alias("first")
+    nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), first), "fp-nodes")
     linked = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    named = staged(nodes.join(linked, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "fp-labels")
-    ids = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    return rows.join(named.join(ids, "label").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    named = staged(
+        nodes.join(linked, "fp", "left").select("fp", "least", "first", F.coalesce("label", "fp").alias("label")), "fp-labels"
+    )
+    ids = named.groupBy("label").agg(F.min("least").alias("component_id"), F.min("first").alias("stays"))
+    ids = named.join(ids, "label").select("fp", "component_id", F.col("stays.rid").alias("stays"))
+    return rows.join(ids, "fp").select("doc_id", "rid", "fp", "component_id", "stays")
+
+
+#: Documents to drop are broadcast up to this many (8 bytes each); beyond it the rows are shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The document with the smallest doc_id of every component, with all its columns."""
+    lost = staged(near_duplicates(docs, max_bits).filter("rid <> stays").select(F.col("rid").alias("__rid")).distinct(), "near-lost")
+    rid = F.xxhash64("doc_id", "text")
+    drop = F.broadcast(lost) if lost.count() <= BROADCAST_ROWS else lost
+    return docs.withColumn("__own", rid).join(drop, F.col("__own") == F.col("__rid"), "left_anti").drop("__own")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
