@@ -84,3 +84,24 @@ def windowed_rates(df: DataFrame, ts: str, interval: str, ok: Column, slow: Colu
 
 def outcome_split(df: DataFrame, ok: Column) -> DataFrame:
     return df.agg(F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"), F.count("*").alias("total"))
+
+
+def connection_summary(df: DataFrame, up: Column, protocol: Column) -> DataFrame:
+    """Hosts up, down and in all, and the requests that those up carry at once."""
+    alive = F.coalesce(up, F.lit(False))
+    return df.agg(
+        F.count_if(alive).alias("up"), F.count_if(~alive).alias("down"), F.count("*").alias("total"),
+        F.sum(F.when(alive, in_flight(protocol))).alias("in_flight"),
+    )
+
+
+def bucket_quantile(df: DataFrame, keys: list[str], value: str, bounds: list[float], q: float) -> DataFrame:
+    """A quantile from cumulative buckets, linear within its bucket; past the last bound, the last bound."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("total"), *[F.count_if(F.col(value) <= b).alias(f"__{i}") for i, b in enumerate(bounds)])
+    rank, out = F.col("total") * F.lit(q), F.lit(float(bounds[-1]))
+    for i in reversed(range(len(bounds))):
+        low, below = (bounds[i - 1], F.col(f"__{i - 1}")) if i else (0.0, F.lit(0))
+        inside = F.col(f"__{i}") - below
+        at = F.lit(float(low)) + F.lit(float(bounds[i] - low)) * F.when(inside > 0, (rank - below) / inside).otherwise(1.0)
+        out = F.when(F.col(f"__{i}") >= rank, at).otherwise(out)
+    return counted.select(*keys, F.round(out, 4).alias("quantile"))

@@ -461,6 +461,37 @@ def slow_windows(spark, d):
     return found.filter("slow_fraction > 0.1").select("window_start", "n", "slow_fraction")
 
 
+_BOUNDS = [10.0, 25.0, 50.0, 100.0, 200.0]
+_LE = ", ".join(f"count(*) FILTER (value <= {b})::DOUBLE AS c{i}" for i, b in enumerate(_BOUNDS))
+_CASES = " ".join(
+    f"WHEN c{i} >= r THEN {lo} + {b - lo} * CASE WHEN c{i} > {c} THEN (r - {c}) / (c{i} - {c}) ELSE 1 END"
+    for i, (b, lo, c) in enumerate(zip(_BOUNDS, [0.0, *_BOUNDS], ["0", *[f"c{i}" for i in range(len(_BOUNDS))]]))
+)
+
+
+@query(f"WITH b AS (SELECT event_type, count(*) * 0.95::DOUBLE AS r, {_LE} FROM events GROUP BY ALL) SELECT event_type, round(CASE {_CASES} ELSE {_BOUNDS[-1]} END, 4) AS quantile FROM b")
+def histogram_quantile(spark, d):
+    return telemetry.bucket_quantile(table(spark, d, "events"), ["event_type"], "value", _BOUNDS, 0.95)
+
+
+@query(
+    """SELECT count(*) FILTER (s_acctbal >= 0) AS up, count(*) FILTER (NOT s_acctbal >= 0) AS down, count(*) AS total,
+    sum(CASE WHEN s_suppkey % 4 >= 3 THEN 32768 ELSE 128 END) FILTER (s_acctbal >= 0)::BIGINT AS in_flight FROM supplier"""
+)
+def connection_summary(spark, d):
+    return telemetry.connection_summary(table(spark, d, "supplier"), F.col("s_acctbal") >= 0, F.col("s_suppkey") % 4)
+
+
+@query("SELECT count(*) AS n, count(DISTINCT o_orderkey) AS n_keys FROM orders")
+def range_queries_union(spark, d):
+    from ..engine import Engine
+    from ..ranges import range_query, whole
+
+    with Engine(spark, d, ["orders"]) as engine:
+        parts = [range_query("orders", "o_orderkey", r, ["o_orderkey"]) for r in whole(8)]
+        return engine.query(" UNION ALL ".join(parts)).agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("n_keys"))
+
+
 # ---- mutations
 
 

@@ -98,3 +98,10 @@ def predicate(one: TokenRange, token: str = "token", ring: Ring = FULL) -> str:
     """SQL text of a range's test. The ring's first token belongs to a range that starts at it."""
     token, above = identifier(token), ">=" if one.start == ring.low else ">"
     return f"({token} {above} {one.start} {'OR' if one.wraps else 'AND'} {token} <= {one.end})"
+
+
+def range_query(table: str, key: str, one: TokenRange, columns: list[str] | None = None, ring: Ring = FULL) -> str:
+    """SQL text of a range's scan over xxhash64 tokens."""
+    shown = ", ".join(identifier(c) for c in columns) if columns else "*"
+    test = predicate(one, "token", ring).replace("token", f"xxhash64({identifier(key)})")
+    return f"SELECT {shown} FROM {identifier(table)} WHERE {test}"

@@ -287,3 +287,28 @@ def test_stream_equals_batch_over_many_files(spark, data, tmp_path):
     for user, rows in by.items():
         _, v = trimmed([r[0] for r in rows], [r[1] for r in rows], 20, 6 * 3600.0)
         assert got[user] == (len(v), pytest.approx(sum(v) / len(v), abs=1e-3))
+
+
+def test_engine(spark, data):
+    from ringfold.engine import Engine, MetricsCollector, RecentMetrics
+
+    class Broken(MetricsCollector):
+        def record(self, one):
+            raise RuntimeError("ignored")
+
+    seen = RecentMetrics(3)
+    with Engine(spark, data, collectors=(Broken(), seen)) as engine:
+        n = engine.one("SELECT count(*) AS n FROM nation").n
+        assert n == 25 == len(engine.execute("SELECT * FROM nation"))
+        by_region = engine.prepare("SELECT n_name FROM nation WHERE n_regionkey = :r ORDER BY n_name")
+        assert by_region(r=1).count() == 5
+        assert engine.execute("SELECT * FROM nation WHERE n_nationkey = ?", [3])[0].n_nationkey == 3
+        assert engine.one("SELECT * FROM nation WHERE n_nationkey < 0") is None
+        assert sum(len(p) for p in engine.stream("SELECT * FROM orders", config=paging.StreamConfig(400)).pages()) == 1500
+        with pytest.raises(Exception):
+            engine.execute("SELECT no_such_column FROM nation")
+        assert len(seen.rows) == 3 and not seen.rows[-1].success and seen.rows[-1].error_type == "AnalysisException"
+        got = seen.frame(spark).select("query_hash", "success").collect()
+        assert len(got) == 3 and all(len(r.query_hash) == 12 for r in got)
+    with pytest.raises(errors.ConfigError):
+        engine.execute("SELECT 1")
