@@ -8,7 +8,7 @@
    passage that a third of all documents share is one row for each chunk and not for each document.
 3. Documents are dealt over shards of bounded size. Each shard gets the places of its confirmed
    windows, merges them into passages, compiles phrases that every window of a passage holds
-   into an Aho-Corasick automaton over word codes, streams its documents through it and compares
+   into an Aho-Corasick automaton over spelled word codes, streams its documents through it and compares
    the windows around each hit with the confirmed ones; all occurrences are found and covered words go.
 
 The bitmap filters and never decides: false hits cost only rows in step 2. The shards' number
@@ -156,23 +156,39 @@ def passage_phrases(starts: np.ndarray, width: int, phrase: int) -> np.ndarray:
     return np.unique(np.r_[inner, begin + reach])
 
 
+def _spelled(code: np.ndarray, phrases: np.ndarray, n_codes: int) -> tuple[str, int]:
+    """Words as a text of `span` letters each, and span. Only words of phrases have letters of their own.
+
+    Each place within a word has its own few letters: nodes of the automaton stay small, and matches start at words.
+    """
+    used = np.unique(code[phrases])
+    span = 3 if len(used) <= 80**3 else 4
+    base = 80 if span == 3 else 60
+    letters = np.full((n_codes, span), 255, np.uint8)
+    for k in range(span):
+        letters[used, k] = np.arange(len(used)) // base**k % base + k * base
+    return letters[code].tobytes().decode("latin-1"), span
+
+
 def locate(code: np.ndarray, bounds: np.ndarray, known: np.ndarray, h: np.ndarray, width: int, phrase: int) -> np.ndarray:
     """Every start of a window equal to one at the known starts, in ascending order."""
     import ahocorasick
 
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    listed = code.tolist()
-    for p in passage_phrases(known, width, phrase).tolist():
-        automaton.add_word(tuple(listed[p : p + phrase]), 1)
+    starts = passage_phrases(known, width, phrase)
+    text, span = _spelled(code, starts[:, None] + np.arange(phrase), int(code.max()) + 1)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for p in starts.tolist():
+        automaton.add_word(text[p * span : (p + phrase) * span], 1)
     automaton.make_automaton()
-    near = np.zeros(len(code) + 1, np.int64)
-    span = width - phrase + 1
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        if b - a >= width and (ends := [end for end, _ in automaton.iter(tuple(listed[a:b]))]):
-            hit = np.array(ends) - phrase + 1 + a
-            np.add.at(near, np.maximum(hit - span + 1, a), 1)
-            np.add.at(near, np.minimum(hit, b - width) + 1, -1)
+    first = np.repeat(bounds[:-1], np.diff(bounds))
     left = _left(bounds)
+    ends = np.fromiter((end for end, _ in automaton.iter(text)), np.int64) // span
+    hit = ends - phrase + 1
+    hit = hit[first[hit] == first[ends]]  # not across two documents
+    near = np.zeros(len(code) + 1, np.int64)
+    reach = width - phrase
+    np.add.at(near, np.maximum(hit - reach, first[hit]), 1)
+    np.add.at(near, hit + 1, -1)
     at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (left >= width))
     h1, h2 = _windows(h, width)
     both = (h1 << np.uint64(1)) ^ (h2 << np.uint64(34)) ^ (h1 >> np.uint64(63))
