@@ -170,8 +170,17 @@ def test_class_model_is_a_distribution():
     weights = rng.normal(size=(maxent.ROWS + 1, maxent.CLASSES)).astype(np.float32)
     h, bounds = maxent.tokens(pa.array(["a b c the end", None, ""]))
     assert bounds.tolist() == [0, 6, 7, 8]
-    p = np.exp(maxent.log_softmax(weights, maxent.features(h, bounds)))
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
+    rows = maxent.features(h, bounds)
+    p = sum(np.exp(maxent.log_chance(weights, rows, np.full(len(h), k), maxent.Scratch())) for k in range(maxent.CLASSES))
+    assert np.allclose(p, 1, atol=1e-5)
+
+
+def test_class_follows_the_last_two_bytes():
+    words = pa.array(["Nation", "station", "x", "on", "ñ", "é"])
+    c = (maxent.token_hashes(words) & np.uint64(31)).tolist()
+    assert c[0] == c[1] == c[3] and max(c) < maxent.END_CLASS
+    one = [int(maxent.token_hashes(words.slice(i, 1))[0]) for i in range(6)]
+    assert one == maxent.token_hashes(words).tolist()
 
 
 TEXT = (
