@@ -73,21 +73,23 @@ def spell(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each distinct word, lower-cased: its embedding row, and rows of its character n-grams (all in a row, with
     bounds). Words are marked at both ends; one shorter than an n-gram has none of that length."""
     lower = pc.ascii_lower(words)
-    row = (hashed(lower) % np.uint64(WORD_ROWS)).astype(np.int64)
+    row = (hashed(lower) % np.uint64(WORD_ROWS)).astype(np.int32)
     marked = pa.concat_arrays([pc.binary_join_element_wise("\x02", lower, "\x03", "").cast(pa.binary())])
-    offsets = np.frombuffer(marked.buffers()[1], np.int32, len(marked) + 1).astype(np.int64) if len(marked) else np.zeros(1, np.int64)
+    offsets = np.frombuffer(marked.buffers()[1], np.int32, len(marked) + 1) if len(marked) else np.zeros(1, np.int32)
     raw = np.frombuffer(marked.buffers()[2], np.uint8)[: offsets[-1]].astype(np.uint64) if len(marked) else np.zeros(0, np.uint64)
-    found, owner = [], []
-    for n in GRAMS:
-        gram = mixed(rolling(raw + np.uint64(1), n, 0x9E3779B97F4A7C15) + np.uint64(n)) >> np.uint64(64 - CHAR_BITS)
-        size = np.maximum(np.diff(offsets) - n + 1, 0)
-        ends = np.cumsum(size)
-        at = np.arange(size.sum()) + np.repeat(offsets[:-1] - (ends - size), size)
-        found.append(gram[at].astype(np.int64))
-        owner.append(np.repeat(np.arange(len(size)), size))
-    owner = np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    return row, np.concatenate(found)[order], np.r_[0, np.cumsum(np.bincount(owner, minlength=len(row)))]
+    sizes = [np.maximum(np.diff(offsets) - n + 1, 0) for n in GRAMS]
+    bounds = np.r_[0, np.cumsum(sum(sizes))].astype(np.int32)
+    out, start = np.empty(bounds[-1], np.int32), bounds[:-1].copy()
+    for n, size in zip(GRAMS, sizes):
+        gram = (mixed(rolling(raw + np.uint64(1), n, 0x9E3779B97F4A7C15) + np.uint64(n)) >> np.uint64(64 - CHAR_BITS)).astype(np.int32)
+        step = np.arange(size.sum(), dtype=np.int32) - np.repeat((np.cumsum(size) - size).astype(np.int32), size)
+        out[step + np.repeat(start, size)] = gram[step + np.repeat(offsets[:-1], size)]
+        start += size.astype(np.int32)
+    return row, out, bounds
+
+
+#: Words whose inputs are made at once.
+WORDS_AT_ONCE = 1 << 15
 
 
 def inputs(model: Model, spelled: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -95,10 +97,12 @@ def inputs(model: Model, spelled: tuple[np.ndarray, np.ndarray, np.ndarray]) ->
     row, grams, bounds = spelled
     out = np.zeros((len(row) + 1, INPUT), np.float32)
     out[:-1, :WORD_DIM] = model["words"][row]
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        total = np.add.reduceat(model["chars"][grams], bounds[full], axis=0)
-        out[full, WORD_DIM:] = total / np.sqrt(np.diff(bounds)[full])[:, None]
+    for k in range(0, len(row), WORDS_AT_ONCE):
+        b = bounds[k : k + WORDS_AT_ONCE + 1]
+        full = np.flatnonzero(np.diff(b))
+        if len(full):
+            total = np.add.reduceat(model["chars"][grams[b[0] : b[-1]]], b[full] - b[0], axis=0)
+            out[k + full, WORD_DIM:] = total / np.sqrt(np.diff(b)[full])[:, None]
     return out
 
 
@@ -109,10 +113,11 @@ def windows(code: np.ndarray, bounds: np.ndarray, pad: int) -> tuple[np.ndarray,
     count = np.maximum(1, -(-(size - WINDOW) // STRIDE) + 1)
     text = np.repeat(np.arange(len(size)), count)
     k = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    at = (k * STRIDE)[:, None] + np.arange(WINDOW)
-    inside = at < size[text][:, None]
-    padded = np.r_[code, pad].astype(np.int64)
-    return padded[np.where(inside, at + bounds[:-1][text][:, None], len(code))], text
+    at = (k * STRIDE).astype(np.int32)[:, None] + np.arange(WINDOW, dtype=np.int32)
+    outside = at >= size[text].astype(np.int32)[:, None]
+    at += bounds[:-1][text].astype(np.int32)[:, None]
+    at[outside] = len(code)
+    return np.r_[code, pad].astype(np.int32)[at], text
 
 
 def _run(gates: np.ndarray, recur: np.ndarray, idx: np.ndarray, keep: bool):
@@ -132,10 +137,19 @@ def _run(gates: np.ndarray, recur: np.ndarray, idx: np.ndarray, keep: bool):
     return states, tape
 
 
-def forward(model: Model, x: np.ndarray, idx: np.ndarray, keep: bool = False):
-    """Logits of windows. x: inputs(); idx: words of each window; the last row of x is padding."""
-    gates = {d: np.clip(x @ model[f"w{d}"] + model[f"c{d}"], -30, 30) for d in "fb"}
-    real = idx != len(x) - 1
+def gates_of(model: Model, x: np.ndarray) -> dict[str, np.ndarray]:
+    """Products of the inputs of distinct words, by direction."""
+    out = {}
+    for d in "fb":
+        out[d] = x @ model[f"w{d}"]
+        out[d] += model[f"c{d}"]
+        np.clip(out[d], -30, 30, out=out[d])
+    return out
+
+
+def forward(model: Model, gates: dict[str, np.ndarray], idx: np.ndarray, keep: bool = False):
+    """Logits of windows. gates: gates_of() the inputs, whose last row is padding; idx: words of each window."""
+    real = idx != len(gates["f"]) - 1
     front, tape_f = _run(gates["f"], model["uf"], idx, keep)
     back, tape_b = _run(gates["b"], model["ub"], idx[:, ::-1], keep)
     states = np.concatenate([front, back[::-1]], axis=2)
@@ -200,12 +214,9 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -
     idx, text = windows(code, bounds, len(words))
     toxic = y[text] == 1
     # words and n-grams typical of toxic texts start with a first coordinate of their own
-    doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    odds = _odds(doc, spelled[0][code], y, WORD_ROWS)
+    odds, gram_odds = _odds(spelled, code, bounds, y)
     model["words"][:, 0] += odds
-    each = np.diff(spelled[2])[code]
-    at = np.arange(each.sum()) + np.repeat(spelled[2][code] - (np.cumsum(each) - each), each)
-    model["chars"][:, 0] += _odds(np.repeat(doc, each), spelled[1][at], y, CHAR_ROWS)
+    model["chars"][:, 0] += gram_odds
     worst = np.r_[odds[spelled[0]], 0][idx].max(axis=1) if len(words) else np.zeros(len(idx))
     adam = Adam(0.01)
     for epoch in range(epochs):
@@ -226,7 +237,7 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -
             x = inputs(model, sub)
             dropped = rng.random(len(real)) < DROPPED
             x[:-1][dropped, :WORD_DIM] = 0
-            logit, kept = forward(model, x, local, keep=True)
+            logit, kept = forward(model, gates_of(model, x), local, keep=True)
             slope = ((_sigmoid(logit) - toxic[one]) / len(one)).astype(np.float32)
             grad = backward(model, x, local, kept, slope)
             d_x = grad.pop("x")[:-1]
@@ -242,13 +253,26 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -
     return model
 
 
-def _odds(doc: np.ndarray, row: np.ndarray, y: np.ndarray, rows: int) -> np.ndarray:
-    """Log odds of label 1 for texts that hold an embedding row, against those that hold it and have label 0."""
-    pairs = np.unique(doc * rows + row)
-    has = [np.bincount(pairs[y[pairs // rows] == k] % rows, minlength=rows) for k in (0, 1)]
-    odds = np.log((has[1] + 0.5) / ((y == 1).sum() + 1)) - np.log((has[0] + 0.5) / ((y == 0).sum() + 1))
-    odds[has[0] + has[1] < 3] = 0
-    return np.clip(odds, -1, 3).astype(np.float32)
+def _odds(spelled, code: np.ndarray, bounds: np.ndarray, y: np.ndarray, at_once: int = 100) -> list[np.ndarray]:
+    """Log odds of label 1 for texts that hold a word's or an n-gram's row, against those that hold it and have label 0."""
+    has = [np.zeros((2, rows)) for rows in (WORD_ROWS, CHAR_ROWS)]
+    for k in range(0, len(y), at_once):
+        doc = np.repeat(np.arange(len(y[k : k + at_once])), np.diff(bounds[k : k + at_once + 1]))
+        pairs = np.unique(doc * np.int64(len(spelled[0]) + 1) + code[bounds[k] : bounds[min(k + at_once, len(y))]])
+        doc, word = pairs // (len(spelled[0]) + 1), pairs % (len(spelled[0]) + 1)
+        size = np.diff(spelled[2])[word]
+        at = np.arange(size.sum()) + np.repeat(spelled[2][word] - (np.cumsum(size) - size), size)
+        for n, d, row in ((has[0], doc, spelled[0][word]), (has[1], np.repeat(doc, size), spelled[1][at])):
+            own = np.unique(d * np.int64(n.shape[1]) + row)
+            for label in (0, 1):
+                hit = own[y[k + own // n.shape[1]] == label] % n.shape[1]
+                n[label] += np.bincount(hit, minlength=n.shape[1])
+    out = []
+    for n in has:
+        odds = np.log((n[1] + 0.5) / ((y == 1).sum() + 1)) - np.log((n[0] + 0.5) / ((y == 0).sum() + 1))
+        odds[n.sum(axis=0) < 3] = 0
+        out.append(np.clip(odds, -1, 3).astype(np.float32))
+    return out
 
 
 def _sub(spelled, chosen: np.ndarray):
@@ -271,8 +295,8 @@ def calibrate(top: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
 
 
 def logits(model: Model, spelled, idx: np.ndarray) -> np.ndarray:
-    x = inputs(model, spelled)
-    parts = [forward(model, x, idx[k : k + SIDE_BY_SIDE])[0] for k in range(0, len(idx), SIDE_BY_SIDE)]
+    gates = gates_of(model, inputs(model, spelled))
+    parts = [forward(model, gates, idx[k : k + SIDE_BY_SIDE])[0] for k in range(0, len(idx), SIDE_BY_SIDE)]
     return np.concatenate(parts) if parts else np.zeros(0)
 
 

@@ -119,7 +119,7 @@ def test_network_gradients():
     idx, _ = toxicity.windows(code, bounds, len(words))
     x = toxicity.inputs(model, toxicity.spell(words)).astype(np.float64)
     slope = rng.normal(size=len(idx)).astype(np.float64)
-    logit, kept = toxicity.forward(model, x, idx, keep=True)
+    logit, kept = toxicity.forward(model, toxicity.gates_of(model, x), idx, keep=True)
     grad = toxicity.backward(model, x, idx, kept, slope)
     for name in ("out", "attend", "uf", "ub", "wf", "wb", "cf", "cb", "x"):
         values = x if name == "x" else model[name]
@@ -127,9 +127,9 @@ def test_network_gradients():
             at = tuple(rng.integers(0, n) for n in (len(words), *x.shape[1:]) ) if name == "x" else tuple(rng.integers(0, n) for n in values.shape)
             old, h = values[at], 1e-2
             values[at] = old + h
-            up = toxicity.forward(model, x, idx)[0] @ slope
+            up = toxicity.forward(model, toxicity.gates_of(model, x), idx)[0] @ slope
             values[at] = old - h
-            down = toxicity.forward(model, x, idx)[0] @ slope
+            down = toxicity.forward(model, toxicity.gates_of(model, x), idx)[0] @ slope
             values[at] = old
             assert grad[name][at] == pytest.approx((up - down) / (2 * h), rel=0.03, abs=2e-3)
 
