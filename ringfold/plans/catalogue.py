@@ -566,27 +566,57 @@ def ttl_filter(spark, d):
 # ---- collections
 
 
-def _listed(spark, d):
-    e = table(spark, d, "events").filter("event_id < 2000")
-    return e.groupBy("user_id").agg(F.array_sort(F.collect_list("event_type")).alias("xs"))
+# list_ops, set_ops and map_ops read the events that their SQL names, event_id < 2000; the _all forms read every event.
+_SUBSET = " WHERE event_id < 2000"
+
+
+def _subset(spark, d):
+    return table(spark, d, "events").filter("event_id < 2000")
+
+
+def _listed(events):
+    return events.groupBy("user_id").agg(F.array_sort(F.collect_list("event_type")).alias("xs"))
 
 
 def _join(c):
     return F.array_join(c, ",")
 
 
+def _list_ops(events):
+    lit = lambda *xs: F.array(*map(F.lit, xs))
+    xs = F.col("xs")
+    return _listed(events).select(
+        "user_id", _join(C.list_append(xs, lit("z", "z"))).alias("appended"), _join(C.list_prepend(xs, lit("a", "b"))).alias("prepended"),
+        _join(C.list_remove(xs, lit("click", "view"))).alias("removed"),
+    )
+
+
+def _set_ops(events):
+    lit = lambda *xs: F.array(*map(F.lit, xs))
+    xs = F.array_distinct("xs")
+    return _listed(events).select("user_id", _join(C.set_add(xs, lit("z", "click"))).alias("added"), _join(C.set_remove(xs, lit("click", "view"))).alias("removed"))
+
+
+def _map_ops(events):
+    e = events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    m = e.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
+    shown = lambda c: _join(F.transform(F.array_sort(F.map_entries(c)), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string"))))
+    new = F.create_map(F.lit("click"), F.lit(0).cast("long"), F.lit("new"), F.lit(1).cast("long"))
+    return m.select("user_id", shown(C.map_merge(F.col("m"), new)).alias("merged"), shown(C.map_delete(F.col("m"), F.lit("view"))).alias("deleted"))
+
+
 @query(
     """WITH l AS (SELECT user_id, list_sort(list(event_type)) AS xs FROM events WHERE event_id < 2000 GROUP BY ALL)
     SELECT user_id, array_to_string(list_concat(xs, ['z', 'z']), ',') AS appended, array_to_string(list_concat(['a', 'b'], xs), ',') AS prepended,
     nullif(array_to_string(list_filter(xs, lambda x: x NOT IN ('click', 'view')), ','), '') AS removed FROM l"""
 )
 def list_ops(spark, d):
-    lit = lambda *xs: F.array(*map(F.lit, xs))
-    xs = F.col("xs")
-    return _listed(spark, d).select(
-        "user_id", _join(C.list_append(xs, lit("z", "z"))).alias("appended"), _join(C.list_prepend(xs, lit("a", "b"))).alias("prepended"),
-        _join(C.list_remove(xs, lit("click", "view"))).alias("removed"),
-    )
+    return _list_ops(_subset(spark, d))
+
+
+@query(ORACLES["list_ops"].replace(_SUBSET, ""))
+def list_ops_all(spark, d):
+    return _list_ops(table(spark, d, "events"))
 
 
 @query(
@@ -595,9 +625,12 @@ def list_ops(spark, d):
     nullif(array_to_string(list_filter(xs, lambda x: x NOT IN ('click', 'view')), ','), '') AS removed FROM l"""
 )
 def set_ops(spark, d):
-    lit = lambda *xs: F.array(*map(F.lit, xs))
-    xs = F.array_distinct("xs")
-    return _listed(spark, d).select("user_id", _join(C.set_add(xs, lit("z", "click"))).alias("added"), _join(C.set_remove(xs, lit("click", "view"))).alias("removed"))
+    return _set_ops(_subset(spark, d))
+
+
+@query(ORACLES["set_ops"].replace(_SUBSET, ""))
+def set_ops_all(spark, d):
+    return _set_ops(table(spark, d, "events"))
 
 
 @query(
@@ -608,11 +641,12 @@ def set_ops(spark, d):
     (SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM c WHERE c.user_id = keys.user_id AND k <> 'view') AS deleted FROM keys"""
 )
 def map_ops(spark, d):
-    e = table(spark, d, "events").filter("event_id < 2000").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    m = e.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
-    shown = lambda c: _join(F.transform(F.array_sort(F.map_entries(c)), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string"))))
-    new = F.create_map(F.lit("click"), F.lit(0).cast("long"), F.lit("new"), F.lit(1).cast("long"))
-    return m.select("user_id", shown(C.map_merge(F.col("m"), new)).alias("merged"), shown(C.map_delete(F.col("m"), F.lit("view"))).alias("deleted"))
+    return _map_ops(_subset(spark, d))
+
+
+@query(ORACLES["map_ops"].replace(_SUBSET, ""))
+def map_ops_all(spark, d):
+    return _map_ops(table(spark, d, "events"))
 
 
 @query("SELECT event_id, user_id, event_type FROM events WHERE false")
