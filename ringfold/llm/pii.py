@@ -8,10 +8,14 @@ one entity agree in every document and on every machine without a table; the sur
 honorific agrees with or without a given name. The surrogate keeps separators, lengths, letter case,
 check digits, network and country digits; names keep script and gender.
 
+A given name is one identity whatever its honorifics. Its gender is settled once for the corpus: a
+gendered mention beats one without gender, and a name of both genders has none. Only its ending
+follows from the gender; names met with several honorific genders are exceptions (below).
+
 Collision check: the distinct identities of the corpus are gathered (a row each, combined before
 the shuffle), and rounds of joins raise the attempt of every identity whose surrogate another one
 has or which is itself an identity of the corpus. Only those exceptions (attempt over 0, a few in
-a million) are needed by the second pass: broadcast up to BROADCAST_EXCEPTIONS of them, beyond
+a million, and the given names of mixed mentions) are needed by the second pass: broadcast up to BROADCAST_EXCEPTIONS of them, beyond
 that joined to the documents that mention them.
 
 Edge cases: null text stays null, empty text stays empty; texts of any length are read whole;
@@ -101,6 +105,11 @@ class Stream:
         return options[self.below(len(options))]
 
 
+def entity(kind: str) -> str:
+    """The kind without the gender of a given name, by which identities are told apart."""
+    return kind[: kind.rindex(":") + 1] if kind.startswith("given:") else kind
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -128,8 +137,8 @@ def _masked(value: str, rng: Stream) -> str:
 
 
 def surrogate(key: bytes, kind: str, identity: str, attempt: int = 0) -> str:
-    """The replacement's identity, of the same kind."""
-    rng = Stream(key, kind, identity, attempt)
+    """The replacement's identity, of the same kind. A given name's gender decides its ending alone."""
+    rng = Stream(key, entity(kind), identity, attempt)
     if kind == "email":
         local, _, domain = identity.partition("@")
         host = Stream(key, "domain", domain, 0)
@@ -251,20 +260,38 @@ def _tried(key: bytes, attempt: int):
     return run
 
 
+def _entity(kind):
+    """`entity` of a column."""
+    return F.regexp_replace(kind, "^(given:[^:]*:).*", "$1")
+
+
+def united(found: DataFrame) -> DataFrame:
+    """kind, identity, mixed: one row per identity of the kinds and identities found, given names with their settled gender."""
+    kind, is_f, is_m = F.col("kind"), F.col("kind").rlike("^given:.*:f$"), F.col("kind").rlike("^given:.*:m$")
+    rows = found.groupBy(_entity(kind).alias("entity"), "identity").agg(
+        F.max(is_f).alias("f"), F.max(is_m).alias("m"), F.min("kind").alias("least"), F.max("kind").alias("most")
+    )
+    both, none = F.col("f") & F.col("m"), ~F.col("f") & ~F.col("m")
+    gender = F.when(both | none, "u").when(F.col("f"), "f").otherwise("m")
+    named = F.when(F.col("entity").startswith("given:"), F.concat("entity", gender)).otherwise(F.col("entity"))
+    return rows.select(named.alias("kind"), "identity", (F.col("least") != F.col("most")).alias("mixed"))
+
+
 def settle(identities: DataFrame, key: bytes) -> DataFrame:
-    """kind, identity, surrogate, attempt of every identity; surrogates of a kind are distinct and no identity's.
+    """kind, identity, surrogate, attempt of every identity; surrogates of an entity kind are distinct and no identity's.
 
     Identities are written out; each round those that lose get the next attempt.
     """
     pending, settled = identities, None
     for attempt in range(MAX_ATTEMPTS):
         tried = map_arrow(pending, _tried(key, attempt), "kind string, identity string, surrogate string")
-        taken = identities.select("kind", F.col("identity").alias("surrogate"))
+        taken = identities.select(_entity(F.col("kind")).alias("entity"), F.col("identity").alias("surrogate"))
         if settled is not None:
-            taken = taken.union(settled.select("kind", "surrogate"))
+            taken = taken.union(settled.select(_entity(F.col("kind")), "surrogate"))
         tried = staged(tried, "pii-tried")
-        first = tried.join(taken, ["kind", "surrogate"], "left_anti").groupBy("kind", "surrogate").agg(F.min("identity").alias("identity"))
-        won = first.select("kind", "identity", "surrogate", F.lit(attempt).alias("attempt"))
+        free = tried.withColumn("entity", _entity(F.col("kind"))).join(taken, ["entity", "surrogate"], "left_anti")
+        first = free.groupBy("entity", "surrogate").agg(F.min(F.struct("identity", "kind")).alias("one"))
+        won = first.select("one.kind", "one.identity", "surrogate", F.lit(attempt).alias("attempt"))
         settled = staged(won if settled is None else settled.union(won), "pii-settled")
         pending = staged(tried.join(settled, ["kind", "identity"], "left_anti").select("kind", "identity"), "pii-pending")
         if pending.isEmpty():
@@ -281,10 +308,14 @@ def _replacer(key: bytes, exceptions):
             own = batch.column(2).to_pylist() if batch.num_columns > 2 else None
             n, new, at = [0] * batch.num_rows, [], []
             for i, text, found in _found(batch.column(1)):
-                attempts = shared if own is None else dict(own[i] or [])
+                odd = shared if own is None else dict(own[i] or [])
                 out, end = [], 0
                 for a, b, kind, who in found:
-                    sub = surrogate(key, kind, who, attempts.get(f"{kind}\0{who}", 0))
+                    if change := odd.get(f"{entity(kind)}\0{who}"):
+                        kind, attempt = change if own is None else (change["kind"], change["attempt"])
+                    else:
+                        attempt = 0
+                    sub = surrogate(key, kind, who, attempt)
                     out += [text[end:a], render(text[a:b], kind, who, sub)]
                     end = b
                 n[i] = len(found)
@@ -303,26 +334,28 @@ def _replacer(key: bytes, exceptions):
 
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = sorted({(batch.column(0)[i].as_py(), kind, who) for i, _, es in _found(batch.column(1)) for _, _, kind, who in es})
+        rows = sorted({(batch.column(0)[i].as_py(), entity(kind), who) for i, _, es in _found(batch.column(1)) for _, _, kind, who in es})
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))], ["rid", "kind", "identity"]
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))], ["rid", "entity", "identity"]
         )
 
 
 def replace(docs: DataFrame, key: bytes = KEY, broadcast: int = BROADCAST_EXCEPTIONS) -> DataFrame:
     """One row per document: doc_id, n_entities and the text with every entity replaced."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = map_arrow(docs.select("text"), _identities, "kind string, identity string").distinct()
-    named = settle(staged(found, "pii-identities"), key)
-    odd = named.filter("attempt > 0").select("kind", "identity", "attempt")
+    found = staged(united(map_arrow(docs.select("text"), _identities, "kind string, identity string")), "pii-identities")
+    named = settle(found.select("kind", "identity"), key)
+    mixed = found.filter("mixed").select("kind", "identity", "mixed")
+    odd = named.join(mixed, ["kind", "identity"], "left").filter("attempt > 0 or mixed")
+    odd = staged(odd.select(_entity(F.col("kind")).alias("entity"), "identity", "kind", "attempt"), "pii-exceptions")
     schema = "doc_id long, n_entities long, text string"
     if odd.count() <= broadcast:
-        table = {f"{r['kind']}\0{r['identity']}": r["attempt"] for r in odd.collect()}
+        table = {f"{r['entity']}\0{r['identity']}": (r["kind"], r["attempt"]) for r in odd.collect()}
         return map_arrow(docs, _replacer(key, docs.sparkSession.sparkContext.broadcast(table)), schema)
     docs = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
-    mentions = map_arrow(docs.select("rid", "text"), _mentions, "rid long, kind string, identity string")
-    entry = F.struct(F.concat("kind", F.lit("\0"), "identity").alias("key"), F.col("attempt").alias("value"))
-    own = mentions.join(odd, ["kind", "identity"]).groupBy("rid").agg(F.map_from_entries(F.collect_set(entry)).alias("own"))
+    mentions = map_arrow(docs.select("rid", "text"), _mentions, "rid long, entity string, identity string")
+    entry = F.struct(F.concat("entity", F.lit("\0"), "identity").alias("key"), F.struct("kind", "attempt").alias("value"))
+    own = mentions.join(odd, ["entity", "identity"]).groupBy("rid").agg(F.map_from_entries(F.collect_set(entry)).alias("own"))
     return map_arrow(docs.join(own, "rid", "left").select("doc_id", "text", "own"), _replacer(key, None), schema)
 
 
