@@ -12,6 +12,12 @@ A given name is one identity whatever its honorifics. Its gender is settled once
 gendered mention beats one without gender, and a name of both genders has none. Only its ending
 follows from the gender; names met with several honorific genders are exceptions (below).
 
+After detection each text is searched for further whole-word mentions of its own names (given,
+surname or both, any letter case, with or without a honorific); they have the same identities. A word
+that is both is a given name before one of the text's surnames, and otherwise a surname. Not found:
+names that no honorific precedes anywhere in the same text, nicknames, initials, inflected forms
+(but for the Cyrillic feminine surname), names split over lines by a hyphen or joined to digits or underscores.
+
 Collision check: the distinct identities of the corpus are gathered (a row each, combined before
 the shuffle), and rounds of joins raise the attempt of every identity whose surrogate another one
 has or which is itself an identity of the corpus. Only those exceptions (attempt over 0, a few in
@@ -187,9 +193,67 @@ def _identity(kind: str, text: str) -> str:
     return text
 
 
+_WORD = re.compile(_NAME)
+_PIECE = re.compile(r"[^\W\d_]+")
+
+
+def _spelt(word: str) -> str:
+    return word.casefold().replace("’", "'")
+
+
+def _further(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Mentions of the names found that are not among them."""
+    givens: dict[str, tuple[str, str]] = {}
+    surnames: dict[str, tuple[str, str]] = {}
+    for _, _, kind, who in found:
+        names = givens if kind.startswith("given:") else surnames if kind.startswith("surname:") else None
+        if names is None or who in _GENDER:
+            continue
+        old = names.get(_spelt(who))
+        if old is not None and old[0] != kind and "given" in kind:
+            # a gendered mention beats one without, and both genders make none
+            kind = kind if old[0].endswith(":u") else old[0] if kind.endswith(":u") else entity(kind) + "u"
+        names[_spelt(who)] = (kind, who)
+        if kind == "surname:cyrillic:":
+            names.setdefault(_spelt(who) + "а", (kind, who))
+    if not givens and not surnames:
+        return []
+    known = givens.keys() | surnames.keys()
+    most = max(len(_PIECE.findall(word)) for word in known)
+    more, at = [], 0
+    for m in _WORD.finditer(text):
+        while at < len(found) and found[at][1] <= m.start():
+            at += 1
+        pieces = [p.span() for p in _PIECE.finditer(text, *m.span())]
+        i = 0
+        while i < len(pieces):
+            step = 1
+            for j in range(min(len(pieces), i + most), i, -1):
+                a, b = pieces[i][0], pieces[j - 1][1]
+                word = _spelt(text[a:b])
+                if word not in known:
+                    continue
+                step = j - i
+                whole = not (a and (text[a - 1].isalnum() or text[a - 1] == "_")) and not (b < len(text) and (text[b].isalnum() or text[b] == "_"))
+                k = at
+                while k < len(found) and found[k][1] <= a:
+                    k += 1
+                if whole and (k == len(found) or found[k][0] >= b):
+                    more.append((a, b, word))
+                break
+            i += step
+    spans = {e[0] for e in found if e[2].startswith("surname:")} | {a for a, _, word in more if word in surnames}
+    out = []
+    for a, b, word in more:
+        as_given = word in givens and (word not in surnames or (text[b : b + 1] == " " and b + 1 in spans))
+        out.append((a, b, *(givens if as_given else surnames)[word]))
+    return out
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Entities in order: start, end, kind, identity."""
     found = []
+    named = False
     for m in PATTERN.finditer(text):
         kind = m.lastgroup
         if kind != "name":
@@ -202,6 +266,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             if not w[0][0].isupper():
                 break
             words.append(w)
+        named = named or bool(words)
         for i, w in enumerate(words):
             start = m.start("name") + w.start()
             script = script_of(w[0])
@@ -212,7 +277,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                 if script == "cyrillic" and gender == "f" and stem.endswith("а"):
                     stem = stem[:-1]
                 found.append((start, start + len(w[0]), f"surname:{script}:", stem))
-    return found
+    return sorted(found + _further(text, found)) if named else found
 
 
 def render(original: str, kind: str, identity: str, new: str) -> str:
@@ -232,6 +297,8 @@ def render(original: str, kind: str, identity: str, new: str) -> str:
     if kind.startswith(("given", "surname")):
         if kind == "surname:cyrillic:" and original.casefold() == identity + "а":
             new += "а"
+        if original.islower():
+            return new
         return new.upper() if original.isupper() and len(original) > 1 else new.capitalize()
     return new.upper() if kind == "email" and original.isupper() else new
 

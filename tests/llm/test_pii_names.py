@@ -31,3 +31,42 @@ def test_given_surrogates_differ_between_genders(spark):
     found = spark.createDataFrame(rows, "kind string, identity string")
     settled = pii.settle(found, b"k").collect()
     assert len(settled) == 3000 and len({r.surrogate for r in settled}) == 3000
+
+
+def _replaced(text):
+    out, end = "", 0
+    for a, b, kind, who in pii.detect(text):
+        out += text[end:a] + pii.render(text[a:b], kind, who, pii.surrogate(b"k", kind, who))
+        end = b
+    return out + text[end:]
+
+
+def test_further_mentions_of_a_name_are_replaced():
+    text = (
+        "John Smith wrote. Mr. John Smith came. Smith said: JOHN SMITH, smith's, john-smith, 'Smith'. Frau Eva O’Neil; O'Neil's. "
+        "Goldsmith smith2 Smithson a_smith. john.smith@x.org"
+    )
+    new = _replaced(text)
+    given, surname = new.split("Mr. ")[1].split()[:2]
+    oneil = new.split("Frau ")[1].split()[1].rstrip(";")
+    assert new.startswith(
+        f"{given} {surname} wrote. Mr. {given} {surname} came. {surname} said: {given.upper()} {surname.upper()}, "
+        f"{surname.lower()}'s, {given.lower()}-{surname.lower()}, '{surname}'. Frau "
+    )
+    assert f"; {oneil}'s. Goldsmith smith2 Smithson a_smith. " in new and new.count(oneil) == 2
+    assert "john.smith@" not in new
+    assert len(pii.detect(text)) == 2 + 2 + 1 + 2 + 1 + 2 + 1 + 2 + 1 + 1
+    russian = _replaced("Госпожа Анна Иванова. Анна пришла, ИВАНОВА ушла. Иванов тут.")
+    words = russian.replace(".", "").replace(",", "").split()
+    assert words[1] == words[3] and words[2].upper() == words[5] and words[2] == words[7] + "а"
+    both = _replaced("Mr. Martin Smith met Mr. Thomas Martin. Martin Smith left, Martin stayed.").replace(".", "").replace(",", "").split()
+    assert both[1] == both[7] and both[6] == both[10]
+    text = "Herr Professor Weber, ein Professor, Dr Anna Ost: no Name here; none of Ann, Annas or Osten."
+    assert len(pii.detect(text)) == 4
+
+
+def test_further_mentions_over_the_corpus(spark):
+    got = _texts(_docs(spark, ["Frau Anna Meier; Anna Meier, MEIER", "Dr Anna Meier", "Anna Meier"]))
+    name = got[1][3:]
+    assert got[0] == f"Frau {name}; {name}, {name.split()[1].upper()}"
+    assert got[2] == "Anna Meier"  # no honorific in the text: not found
