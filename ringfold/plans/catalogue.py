@@ -372,10 +372,11 @@ def latest_n_per_key(spark, d):
 
 # ---- telemetry
 
-_QUERY_TEXT = F.concat(
-    F.lit("select  *\tfrom t where k = "), (F.col("event_id") % 1000).cast("string"), F.lit(" and kind = '"), F.col("event_type"), F.lit("' limit "),
-    F.when(F.col("value") > 60, "10").otherwise("10 "), F.when(F.col("user_id") % 2 == 0, " allow").otherwise(""),
-)
+def _query_text():
+    return F.concat(
+        F.lit("select  *\tfrom t where k = "), (F.col("event_id") % 1000).cast("string"), F.lit(" and kind = '"), F.col("event_type"), F.lit("' limit "),
+        F.when(F.col("value") > 60, "10").otherwise("10 "), F.when(F.col("user_id") % 2 == 0, " allow").otherwise(""),
+    )
 
 
 @query(
@@ -385,7 +386,7 @@ _QUERY_TEXT = F.concat(
     SELECT substr(md5(q), 1, 12) AS query_hash, count(*) AS n FROM n GROUP BY ALL ORDER BY n DESC, query_hash LIMIT 10"""
 )
 def query_hash_topk(spark, d):
-    return telemetry.top_queries(table(spark, d, "events"), X.query_hash(_QUERY_TEXT))
+    return telemetry.top_queries(table(spark, d, "events"), X.query_hash(_query_text()))
 
 
 @query(
