@@ -186,3 +186,38 @@ def test_substrings(spark, width, bits, shard):
 
 def test_substrings_of_nothing(spark):
     assert substrings.drop_repeats(helpers.frame(spark, []), bits=10).collect() == []
+    few = [(i, helpers.prose(20, i), None, None, 0, 0, "", "") for i in range(3)]
+    assert {r.n_removed for r in substrings.drop_repeats(helpers.frame(spark, few)).collect()} == {0}
+
+
+def test_only_the_automata_find_places():
+    """One passage is known; its occurrences in other texts come from the automaton's hits alone."""
+    import ahocorasick
+    import pyarrow as pa
+    from ringfold.llm.words import coded, hashed, mixed, rolling
+
+    passage = helpers.prose(40, 1, 10**6)
+    texts = [passage, f"x y {passage} z", helpers.prose(80, 2, 10**6), f"{passage} {passage}"]
+    words, code, bounds = coded(pa.array(texts))
+    h = hashed(words)[code]
+    anchors = mixed(rolling(h, 8, substrings.BASES[0]))[10:11]  # a phrase that all its windows hold
+    at = substrings.locate(code, bounds, h, 1, anchors, 35, 8)
+    want = [bounds[1] + 2 + k for k in range(6)] + [bounds[3] + k for k in range(6)] + [bounds[3] + 40 + k for k in range(6)]
+    assert at.tolist() == want
+    real = ahocorasick.Automaton
+
+    class Deaf:
+        def __init__(self, *a):
+            self.of = real(*a)
+
+        def __getattr__(self, name):
+            return getattr(self.of, name)
+
+        def iter(self, *a):
+            return iter(())
+
+    ahocorasick.Automaton = Deaf
+    try:
+        assert substrings.locate(code, bounds, h, 1, anchors, 35, 8).tolist() == []
+    finally:
+        ahocorasick.Automaton = real
