@@ -156,7 +156,7 @@ def _runs(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _window_counter(width: int):
-    """Rows (h1, h2, n, row, at) of segments (row, text): each window of a batch once, with its count and a place."""
+    """Rows (h1, h2, n, place) of segments (row, text): each window of a batch once, with its count and the place row * LONG + at."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,9 +172,9 @@ def _window_counter(width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(h1[new].view(np.int64)), pa.array(h2[new].astype(np.int32)), pa.array(np.diff(np.r_[new, len(h1)])),
-                        chunk.column(0).take(pa.array(doc)), pa.array((at - bounds[doc]).astype(np.int32)),
+                        pa.array(chunk.column(0).to_numpy()[doc] * LONG + at - bounds[doc]),
                     ],
-                    ["h1", "h2", "n", "row", "at"],
+                    ["h1", "h2", "n", "place"],
                 )
 
     return count
@@ -358,11 +358,14 @@ def repeated_places(
         docs.select("r1", "r2", "text"), _segmenter(bit_map, width, phrase, sampled, bits),
         "r1 long, r2 long, at long, text string, anchors array<long>, cuts array<int>",
     )
-    segs = staged(segs.withColumn("row", F.monotonically_increasing_id()), "segments")
-    windows = map_arrow(segs.select("row", "text"), _window_counter(width), "h1 long, h2 int, n long, row long, at int")
+    # partition and place in it, so that a row and a window in it fit one long
+    nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    segs = staged(segs.withColumn("row", F.shiftleft(F.spark_partition_id().cast("long"), 28) + nth), "segments")
+    windows = map_arrow(segs.select("row", "text"), _window_counter(width), "h1 long, h2 int, n long, place long")
+    row, at = F.shiftright("place", LONG.bit_length() - 1).alias("row"), F.col("place").bitwiseAND(F.lit(LONG - 1)).cast("int")
     confirmed = (
-        windows.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("row").alias("row"), F.min_by("at", "row").alias("at"))
-        .filter("n > 1").groupBy("row").agg(F.collect_list("at").alias("ats"))
+        windows.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
+        .filter("n > 1").groupBy(row).agg(F.collect_list(at).alias("ats"))
     )
     marked = segs.join(confirmed, "row", "left").select("r1", "r2", "at", "text", "anchors", "cuts", "ats")
     pieces = map_arrow(marked, _cutter(width), "anchor long, known boolean, r1 long, r2 long, at long, text string")
