@@ -55,17 +55,44 @@ def test_quality_rules(spark):
     assert quality_rules.keep_good(helpers.frame(spark, [])).collect() == []
 
 
-def test_robust_estimate():
+def test_minimum_determinant_equals_brute_force(spark):
+    """Small groups: of all subsets of three quarters, the one of least determinant, where the others are outliers.
+
+    Among clean documents the search ends in a minimum near the least (group e)."""
+    from itertools import combinations
+
     rng = np.random.default_rng(1)
-    x = rng.normal(0, 1, (4000, quality_rules.P))
-    x[:600] += 40
     assert quality_rules.chi2_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3)
-    d = (x**2).sum(axis=1)
-    edges = np.geomspace(0.01, 1000, quality_rules.BINS)
-    sums = quality_rules._sums(x, np.searchsorted(edges, d), len(edges) + 1)
-    centre, scatter = quality_rules.estimate(sums[sums[:, 0] > 0], 0.75, 0.75 / 0.85)
-    assert np.abs(centre).max() < 0.2
-    assert np.abs(np.diag(scatter) - np.square(quality_rules.FLOORS) - 1).max() < 0.35
+    rows, want = [], {}
+    floor, factor = np.diag(np.square(quality_rules.FLOORS)), quality_rules.consistency(0.75)
+    for key, n, bad in (("a", 13, 3), ("b", 12, 3), ("c", 14, 3), ("d", 1, 0), ("e", 14, 2)):
+        x = rng.normal(0, 1, (n, quality_rules.P)) @ rng.normal(0, 1, (quality_rules.P, quality_rules.P))
+        x[:bad] += 40
+        rows += [(key, "*", *map(float, r)) for r in x]
+        h = math.ceil(0.75 * n)
+        cov = lambda i: np.cov(x[list(i)].T, bias=True).reshape(quality_rules.P, -1) * factor + floor if h > 1 else floor  # noqa: B023, E731
+        want[key] = min((np.linalg.slogdet(cov(i))[1], x[list(i)].mean(axis=0).tolist()) for i in combinations(range(n), h))
+    df = spark.createDataFrame(rows, "key string, parent string, " + ", ".join(f"{x} double" for x in quality_rules.X))
+    got = {r.key: r for r in quality_rules.concentrated(df).collect()}
+    assert got.keys() == want.keys()
+    for key, (log_det, centre) in want.items():
+        assert log_det - 1e-9 <= got[key].log_det <= log_det + (0.1 if key == "e" else 1e-6)
+        assert key == "e" or np.allclose(got[key].centre, centre)
+
+
+def test_groups_of_all_sizes(spark):
+    """An estimate's weight grows with its group, without a size at which the rule changes."""
+    rng = np.random.default_rng(2)
+    rows = [("=en\ta" if i % 4 else "=en\tb", "=en", "*", *map(float, rng.normal(0, 1, quality_rules.P))) for i in range(3000)]
+    rows += [("=de\ta", "=de", "*", *map(float, rng.normal(5, 1, quality_rules.P))) for _ in range(2)]
+    rows += [("=en\ta", "=en", "*", *([50.0] * quality_rules.P)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k0 string, k1 string, k2 string, " + ", ".join(f"{x} double" for x in quality_rules.X))
+    got = {r.key: np.array(r.centre) for r in quality_rules.fit(df).collect()}
+    assert set(got) == {"=en\ta", "=en\tb", "=de\ta"}
+    assert np.abs(got["=en\ta"]).max() < 0.2 and np.abs(got["=en\tb"]).max() < 0.2
+    assert 0 < got["=de\ta"].mean() < 1  # two documents against SHRINK
+    alone = {r.key: np.array(r.centre) for r in quality_rules.fit(df, shrink=0).collect()}
+    assert np.abs(alone["=de\ta"] - 5).max() < 3
 
 
 def test_rule_ensemble_learns_a_rule():
