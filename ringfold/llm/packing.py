@@ -1,15 +1,22 @@
 """Best-fit packing of documents into token sequences, bulk-synchronous.
 
-Documents are tokenised once into pieces of at most `capacity` ids (the staged table holds
-lengths and checksums, not ids). Lengths and gaps are both integers up to the capacity, so
-range-sorting pieces and gaps amounts to runs: all pieces of one length, all sequences of one
-gap. Each superstep matches one length's run with its successors among the gap runs (the least
-gap that holds it, then the next), conflicts are resolved by rank (the k-th piece gets the k-th
-place of the run), and the gaps are updated; what finds no gap opens new sequences. The driver
-sees only the histogram of lengths (a row for each length, `capacity` at most) and returns a plan of
-runs; each piece then finds its own place from its length and its rank, in parallel. Ranks are
-distributed: the pieces of a length are dealt over 1024 hash ranges, whose counts give the
-first rank of each, so that a length that holds a third of all pieces is not ranked by one task.
+Documents are tokenised once into pieces of at most `capacity` ids (the staged table holds lengths and
+checksums, not ids). Pieces are packed by classes of length, longest first, in supersteps over the
+tables of unplaced pieces and of sequences with a gap:
+
+* Range-sort pieces and gaps together by size, gaps before pieces of their size.
+* Successor sweep: read in falling order, a gap opens a bracket and a piece closes one; matching brackets pair
+  each piece with the least free gap that holds it. The depth of every row is a distributed prefix sum (counts of
+  sizes, then ranks within hash ranges of a size), and rows of one depth alternate, so one more shuffle by depth
+  finds the pairs.
+* Conflicts: pieces of one size that want gaps of one size take them by rank.
+* Update the gaps and repeat while pieces find gaps; what finds none opens new sequences, `capacity // length`
+  pieces in each by rank, and the next class follows.
+
+A gap offers a place for each piece of the class that fits it whatever their lengths (64 at most in one superstep).
+The driver sees counts alone. No row set is sorted by one task: a size is dealt over RANKED_RANGES hash
+ranges, and a depth holds a row for each size at most. The offsets follow from one pass over all
+supersteps' pairs at the end.
 
 Edge cases: null text is empty; an empty text is one piece that holds only the end id; null
 doc_id packs like any other; repeated rows are packed each; an empty table gives no rows; other
@@ -20,8 +27,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_left, insort
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +43,13 @@ from .words import chunks
 CAPACITY = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
-RANKED_RANGES = 1024
+RANKED_RANGES = 64
+#: A class of lengths reaches from one of these parts of the capacity to the next.
+CLASSES = (1, 2, 4, 8, 16, 64, 512)
+#: Supersteps of a class end when fewer than this share of its pieces find gaps.
+SETTLED = 0.02
+MOST_SWEEPS = 12
+MOST_PLACES = 64
 #: Bytes of text encoded at once, and words whose ids a worker keeps.
 CHUNK_BYTES = 4 << 20
 CACHE_WORDS = 500_000
@@ -146,77 +157,120 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     return map_arrow(texts, _piecer(tokenizer, capacity), schema)
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
-    """Runs (length, first_rank, end_rank, first_sequence, per_sequence, offset) that place all pieces.
+def _before(counts: DataFrame, within: list[str], order: list[str], value: str) -> DataFrame:
+    """Add `start`: the sum of value over the rows before, by `within` and then `order`."""
+    w = (W.partitionBy(*within) if within else W.partitionBy()).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return counts.withColumn("start", F.coalesce(F.sum(value).over(w), F.lit(0)))
 
-    The pieces of a run with ranks first_rank.. fill the sequences first_sequence.., per_sequence in each,
-    from the offset on.
+
+def _ranked(rows: DataFrame, sizes: list[str], order: list[str]) -> DataFrame:
+    """Add rank, from 1: the place among the rows of equal `sizes`. Each size is dealt over hash ranges."""
+    rows = rows.withColumn("range", F.pmod(F.xxhash64("id"), F.lit(RANKED_RANGES)).cast("int"))
+    starts = _before(rows.groupBy(*sizes, "range").agg(F.count("*").alias("n")), sizes, ["range"], "n").drop("n")
+    own = F.row_number().over(W.partitionBy(*sizes, "range").orderBy(*order))
+    return rows.withColumn("own", own).join(starts, [*sizes, "range"]).withColumn("rank", F.col("start") + F.col("own")).drop("start", "own", "range")
+
+
+def sweep(gaps: DataFrame, active: DataFrame, longest: int, capacity: int) -> DataFrame:
+    """One superstep: pieces (id, size) and gaps (id, size) as rows kind, id, size, mate, used.
+
+    kind 1: a piece and the sequence it found; kind 0: a gap's place and the tokens it took.
     """
-    gaps: dict[int, deque[tuple[int, int]]] = {}
-    order: list[int] = []
-    runs, opened = [], 0
-
-    def free(gap: int, first: int, count: int) -> None:
-        if gap and count:
-            if gap not in gaps:
-                gaps[gap] = deque()
-                insort(order, gap)
-            gaps[gap].append((first, count))
-
-    for length in sorted(histogram, reverse=True):
-        rank, n = 0, histogram[length]
-        while rank < n:
-            if (k := bisect_left(order, length)) < len(order):
-                gap = order[k]
-                first, count = gaps[gap].popleft()
-                if not gaps[gap]:
-                    del gaps[gap]
-                    order.pop(k)
-            else:
-                gap, first = capacity, opened
-                count = -(-(n - rank) // (capacity // length))
-                opened += count
-            each = gap // length
-            full, rest = divmod(min(n - rank, count * each), each)
-            runs.append((length, rank, rank + full * each + rest, first, each, capacity - gap))
-            rank += full * each + rest
-            free(gap - each * length, first, full)
-            if rest:
-                free(gap - rest * length, first + full, 1)
-            free(gap, first + full + bool(rest), count - full - bool(rest))
-    return runs
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(MOST_PLACES), F.floor(F.col("size") / longest).cast("int"))))
+    offered = gaps.select(F.lit(0).alias("kind"), "id", "size", F.explode(places).alias("place"))
+    rows = offered.union(active.select(F.lit(1), "id", "size", F.lit(0)))
+    rows = rows.withColumn("key", ((F.lit(capacity) - F.col("size")) * 2 + F.col("kind")).cast("int"))
+    sign = F.when(F.col("kind") == 0, 1).otherwise(-1)
+    depths = _before(rows.groupBy("key", "kind").agg(F.sum(sign).alias("n")), [], ["key"], "n").select("key", F.col("start").alias("depth"))
+    rows = _ranked(rows, ["key"], ["id", "place"]).join(F.broadcast(depths), "key")  # a row for each size: 2 * capacity at most
+    level = F.when(F.col("kind") == 0, F.col("depth") + F.col("rank")).otherwise(F.col("depth") - F.col("rank") + 1)
+    by = W.partitionBy("level").orderBy("key")
+    paired = rows.withColumn("level", level).select(
+        "kind", "id", "size",
+        F.when((F.col("kind") == 1) & (F.lag("kind").over(by) == 0), F.lag("id").over(by)).alias("mate"),
+        F.when((F.col("kind") == 0) & (F.lead("kind").over(by) == 1), F.lead("size").over(by)).otherwise(0).alias("used"),
+    )
+    return paired
+
+
+def opened(active: DataFrame, first: int, capacity: int, whole: bool = False) -> DataFrame:
+    """New sequences from id `first` on for all pieces (id, size): kind, id, size, mate, used as in `sweep`.
+
+    whole: only sequences with all their capacity // size pieces; others have no mate.
+    """
+    rows = active.withColumn("each", F.floor(F.lit(capacity) / F.col("size")).cast("int"))
+    counts = rows.groupBy("each", "size").agg(F.count("*").alias("n"))
+    after = _before(counts.withColumn("short", -F.col("size")), ["each"], ["short"], "n").select("each", "size", F.col("start").alias("longer"))
+    full = counts.groupBy("each").agg((F.floor if whole else F.ceil)(F.sum("n") / F.col("each")).alias("n"))
+    full = _before(full, [], ["each"], "n").select("each", F.col("start").alias("base"), "n")
+    rows = _ranked(rows, ["each", "size"], ["id"]).join(F.broadcast(after), ["each", "size"]).join(F.broadcast(full), "each")
+    nth = F.floor((F.col("longer") + F.col("rank") - 1) / F.col("each"))
+    mate = F.when(nth < F.col("n"), F.lit(first) + F.col("base") + nth).cast("long")
+    return rows.select(F.lit(1).alias("kind"), "id", "size", mate.alias("mate"), F.lit(0).alias("used"))
+
+
+def pairs(cut: DataFrame, capacity: int = CAPACITY) -> list[DataFrame]:
+    """The sequence (mate) of every piece (id, size), in tables by superstep. cut: id, size of the pieces."""
+    bounds = [capacity // k for k in CLASSES if capacity // k] + [0]
+    of = F.size(F.filter(F.array(*map(F.lit, bounds[1:-1])), lambda b: F.col("size") <= b)) if len(bounds) > 2 else F.lit(0)
+    present = {r["of"]: r["n"] for r in cut.groupBy(of.alias("of")).agg(F.count("*").alias("n")).collect()}
+    left = lambda m: m.filter("kind = 1 AND mate IS NULL").select("id", "size")
+    rest = lambda m: m.filter("kind = 0").groupBy("id").agg((F.min("size") - F.sum("used")).cast("int").alias("size")).filter("size > 0")
+    spark, done, gaps, first = cut.sparkSession, [], None, 0
+
+    def swept(active: DataFrame, gaps: DataFrame, n: int, most: int, hi: int) -> tuple[DataFrame, DataFrame, int]:
+        for _ in range(MOST_SWEEPS):
+            step = staged(sweep(gaps, active, hi, capacity), "pack-sweep")
+            done.append(step)
+            active, gaps = left(step), rest(step)
+            was, n = n, active.count()
+            if n == 0 or was - n < SETTLED * most:
+                break
+        return active, gaps, n
+
+    for k in sorted(present):
+        hi, n = bounds[k], present[k]
+        active = cut.filter((F.col("size") <= hi) & (F.col("size") > bounds[k + 1])).select("id", "size")
+        if gaps is not None:
+            active, gaps, n = swept(active, gaps, n, n, hi)
+        # no shorter pieces will fill what the last class leaves open: its rest is matched with just enough new sequences
+        for whole in (True, False) if k == max(present) else (False,):
+            if n == 0:
+                break
+            step = staged(opened(active, first, capacity, whole), "pack-opened")
+            done.append(step)
+            fresh = step.filter("mate IS NOT NULL").groupBy(F.col("mate").alias("id"))
+            fresh = fresh.agg((F.lit(capacity) - F.sum("size")).cast("int").alias("size")).filter("size > 0")
+            gaps = fresh if gaps is None else gaps.union(fresh)
+            first = max(first, step.agg(F.coalesce(F.max("mate") + 1, F.lit(0))).first()[0])
+            active = left(step)
+            n, tokens = active.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+            if whole and n:
+                new = -(-tokens // capacity)
+                gaps = gaps.union(spark.range(first, first + new).select("id", F.lit(capacity).alias("size")))
+                first += new
+                active, gaps, n = swept(active, gaps, n, n, hi)
+    return done
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to a staged table of pieces."""
-    spark = cut.sparkSession
-    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
-    runs = spark.createDataFrame(
-        plan(histogram, capacity), "length long, first_rank long, end_rank long, first long, each long, run_offset long"
-    )
-    dealt = cut.withColumn("range", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANKED_RANGES)).cast("int"))
-    before = W.partitionBy("length").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        dealt.groupBy("length", "range").agg(F.count("*").alias("n"))
-        .select("length", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_of_range"))
-    )
-    own = W.partitionBy("length", "range").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = dealt.join(starts, ["length", "range"]).withColumn(
-        "rank", F.col("first_of_range") + F.row_number().over(own) - 1
-    )
-    within = (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("end_rank"))
-    placed = ranked.join(F.broadcast(runs.withColumnRenamed("length", "run_length")), (F.col("length") == F.col("run_length")) & within)
-    k = F.col("rank") - F.col("first_rank")
-    return placed.select(
-        *cut.columns,
-        (F.col("first") + F.floor(k / F.col("each"))).cast("long").alias("sequence_id"),
-        (F.col("run_offset") + (k % F.col("each")) * F.col("length")).cast("long").alias("offset"),
-    )
+    """Add sequence_id and offset to a table of pieces."""
+    cut = staged(cut.withColumn("id", F.monotonically_increasing_id()), "pieces")
+    steps = pairs(cut.select("id", F.col("length").cast("int").alias("size")), capacity)
+    if not steps:
+        return cut.select(*cut.columns[:-1], F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
+    found = None
+    for k, step in enumerate(steps):
+        own = step.filter("kind = 1 AND mate IS NOT NULL").select("id", "size", F.col("mate").alias("sequence_id"), F.lit(k).alias("step"))
+        found = own if found is None else found.union(own)
+    before = W.partitionBy("sequence_id").orderBy("step", "id").rowsBetween(W.unboundedPreceding, -1)
+    placed = found.select("id", "sequence_id", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("offset"))
+    return cut.join(placed, "id").select(*cut.columns[:-1], "sequence_id", "offset")
 
 
 def best_fit(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece, packed: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(staged(pieces(docs, tokenizer, capacity), "pieces"), capacity)
+    return pack(pieces(docs, tokenizer, capacity), capacity)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,6 @@ import helpers
 import numpy as np
 import pytest
 import xxhash
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from ringfold.llm import graph, packing, simhash, substrings
 
 
@@ -129,30 +127,43 @@ def test_packing(spark):
     assert packing.best_fit(helpers.frame(spark, [])).collect() == []
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(1, 50), st.integers(1, 200), max_size=20))
-def test_plan_places_everything(histogram):
-    space = defaultdict(list)
-    placed = Counter()
-    for length, a, b, first, each, offset in packing.plan(histogram, 50):
-        for k in range(b - a):
-            space[first + k // each].append((offset + k % each * length, length))
-        placed[length] += b - a
-    assert placed == Counter(histogram)
-    for parts in space.values():
+def one_at_a_time(lengths, capacity):
+    """Sequences of best fit, largest first, each piece into the fullest sequence that holds it."""
+    from bisect import bisect_left, insort
+
+    gaps, used = [], 0
+    for n in sorted(lengths, reverse=True):
+        if (k := bisect_left(gaps, n)) < len(gaps):
+            gap = gaps.pop(k)
+        else:
+            gap, used = capacity, used + 1
+        insort(gaps, gap - n)
+    return used
+
+
+@pytest.mark.parametrize("kind", ["mixed", "equal", "third", "long", "short", "two"])
+def test_packing_of_many_lengths(spark, kind):
+    rng = random.Random(kind)
+    n, capacity = 3000, 256
+    make = {
+        "mixed": lambda: min(capacity, 1 + int(rng.lognormvariate(3.5, 1.2))), "equal": lambda: 70, "third": lambda: 100 if rng.random() < 0.4 else rng.randrange(1, 257),
+        "long": lambda: rng.randrange(90, 257), "short": lambda: rng.randrange(1, 9), "two": lambda: rng.choice([129, 127]),
+    }[kind]
+    lengths = [make() for _ in range(n)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lengths)], "doc_id long, length long")
+    got = packing.pack(df, capacity).collect()
+    assert Counter((r.doc_id, r.length) for r in got) == Counter(enumerate(lengths))
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
         at = 0
         for offset, length in sorted(parts):
             assert offset == at
             at += length
-        assert at <= 50
-    gaps = []  # one at a time, largest first, each into the fullest sequence that holds it
-    for n in sorted((n for n, c in histogram.items() for _ in range(c)), reverse=True):
-        fits = [k for k, g in enumerate(gaps) if g >= n]
-        if fits:
-            gaps[min(fits, key=lambda k: gaps[k])] -= n
-        else:
-            gaps.append(50 - n)
-    assert len(space) == len(gaps)
+        assert at <= capacity
+    least = max(-(-sum(lengths) // capacity), sum(x > capacity / 2 for x in lengths))
+    assert least <= len(by) <= 1.01 * one_at_a_time(lengths, capacity) + 1
 
 
 def brute_repeats(rows, width):
