@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..errors import BulkError, ConfigError
 from ..ranges import FULL, PORTABLE, Ring, TokenRange
 
+#: Ranges counted in one pass over a table.
+PER_PASS = 64
 RANGE_SCHEMA = "range_id int, lo decimal(20,0), hi decimal(20,0), wraps boolean"
 
 
@@ -62,25 +64,34 @@ def _schema():
 
 
 def coverage(df: DataFrame, token: Column, ranges: list[TokenRange]) -> DataFrame:
-    """covers (0, 1, 2 for more), n: rows by how many ranges hold their token."""
-    r = F.broadcast(range_table(df.sparkSession, ranges))
-    t = df.select(token.alias("token")).groupBy("token").agg(F.count("*").alias("rows"))
-    inside = F.when(F.col("wraps"), (F.col("token") > F.col("lo")) | (F.col("token") <= F.col("hi"))).otherwise(
-        (F.col("token") > F.col("lo")) & (F.col("token") <= F.col("hi"))
-    )
-    held = t.join(r, inside, "left").groupBy("token").agg(F.count("range_id").alias("k"), F.max("rows").alias("rows"))
-    return held.groupBy(F.least("k", F.lit(2)).cast("int").alias("covers")).agg(F.sum("rows").alias("n"))
+    """covers (0, 1, 2 for more), n: rows by how many ranges hold their token. One pass, a shuffle of three rows a task."""
+    held = _sum([in_range(F.col("token"), r).cast("int") for r in ranges])
+    covers = F.least(held, F.lit(2)).cast("int").alias("covers")
+    return df.select(token.alias("token")).groupBy(covers).agg(F.count("*").alias("n"))
+
+
+def _sum(terms: list[Column]) -> Column:
+    """A balanced sum, so that long lists make no deep expression."""
+    while len(terms) > 1:
+        terms = [functools.reduce(Column.__add__, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0] if terms else F.lit(0)
 
 
 def count_ranges(df: DataFrame, token: Column, ranges: list[TokenRange], ring: Ring = FULL) -> int:
     """Rows in all ranges. Fails, with what was counted, if ranges fail; a partial count is never returned as whole."""
-    parts, failed = [], {}
+    try:  # one pass for every PER_PASS ranges
+        total = 0
+        for i in range(0, len(ranges), PER_PASS):
+            tests = [F.count_if(in_range(F.col("token"), r)).alias(f"n{k}") for k, r in enumerate(ranges[i : i + PER_PASS])]
+            total += sum(df.select(token.alias("token")).agg(*tests).first())
+        return total
+    except Exception:  # noqa: BLE001  which ranges fail, and what the others hold, is found apart
+        total, failed = 0, {}
     for i, r in enumerate(ranges):
         try:
-            parts.append(range_scan(df, token, r).agg(F.count("*").alias("n")))
+            total += range_scan(df, token, r).count()
         except Exception as e:  # noqa: BLE001  gathered, and raised below
             failed[i] = e
-    total = functools.reduce(DataFrame.unionAll, parts).agg(F.sum("n")).first()[0] if parts else 0
     if failed:
         raise BulkError(f"{len(failed)} of {len(ranges)} ranges failed", total, failed)
     return total

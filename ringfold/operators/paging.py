@@ -5,6 +5,7 @@ Rows never gather on the driver beyond a page and the partition it comes from.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import logging
 import threading
@@ -56,10 +57,10 @@ class PagedResult:
             timer = threading.Timer(self.config.timeout_seconds, self._expire)
             timer.daemon = True
             timer.start()
-        self._context.setJobGroup(self._group, "paged read", True)
         try:
-            rows = self._df.toLocalIterator(prefetchPartitions=True)
-            while not self.closed and (page := list(itertools.islice(rows, self.config.fetch_size))):
+            with self._grouped():
+                rows = self._df.toLocalIterator(prefetchPartitions=True)
+            while not self.closed and (page := self._page(rows)):
                 self.page_number += 1
                 if self.config.page_callback:
                     try:
@@ -78,6 +79,22 @@ class PagedResult:
             if timer:
                 timer.cancel()
 
+    def _page(self, rows: Iterator[Row]) -> list[Row]:
+        with self._grouped():
+            return list(itertools.islice(rows, self.config.fetch_size))
+
+    @contextlib.contextmanager
+    def _grouped(self) -> Iterator[None]:
+        """Jobs started here belong to this read; the thread's own group holds again afterwards."""
+        names = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+        before = [self._context.getLocalProperty(n) for n in names]
+        self._context.setJobGroup(self._group, "paged read", True)
+        try:
+            yield
+        finally:
+            for n, value in zip(names, before):
+                self._context.setLocalProperty(n, value)
+
     def __iter__(self) -> Iterator[Row]:
         return itertools.chain.from_iterable(self.pages())
 
@@ -103,16 +120,23 @@ def with_page(df: DataFrame, order: list[Column], size: int, slice_rows: Column
     """Add page, from 1, in a total order.
 
     Pages come from counts of value ranges of the first order column (which is range-partitioned), not from one task
-    that numbers all rows: each range is numbered on its own and starts where those before it end.
+    that numbers all rows: each range is numbered on its own and starts where those before it end. slice_rows: the number of a row's value range, ascending
+    in the order; without it there is one range, for tables that one task can sort.
     """
     part = slice_rows if slice_rows is not None else F.lit(0)
     ranged = df.withColumn("__slice", part)
-    before = W.orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
-    starts = ranged.groupBy("__slice").agg(F.count("*").alias("__n")).select(
-        "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
-    )
+    starts = _starts(ranged.groupBy("__slice").agg(F.count("*").alias("__n")))
     number = F.row_number().over(W.partitionBy("__slice").orderBy(*order)) + F.col("__start")
-    return ranged.join(F.broadcast(starts), "__slice").withColumn("page", (F.floor((number - 1) / size) + 1).cast("long")).drop("__slice", "__start")
+    return ranged.join(starts, "__slice").withColumn("page", (F.floor((number - 1) / size) + 1).cast("long")).drop("__slice", "__start")
+
+
+def _starts(counts: DataFrame) -> DataFrame:
+    """__slice and __start: the rows of all slices before. Slices are summed in blocks of 1024, so that no task orders them all."""
+    counts = counts.withColumn("__block", F.floor(F.col("__slice") / 1024))
+    before = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    blocks = counts.groupBy("__block").agg(F.sum("__n").alias("__n")).select("__block", before(W.orderBy("__block")).alias("__base"))
+    own = counts.withColumn("__own", before(W.partitionBy("__block").orderBy("__slice"))).join(blocks, "__block")
+    return own.select("__slice", (F.col("__base") + F.col("__own")).alias("__start"))
 
 
 def first_pages(df: DataFrame, order: list[Column], size: int, pages: int) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 
 def query_stats(df: DataFrame, ts: str, ms: Column, ok: Column, as_of: Column, interval: str) -> DataFrame:
-    """One row over what is newer than as_of - interval: number, average, least and greatest ms, success rate, rate."""
+    """One row over what is newer than as_of - interval: number, average, least and greatest ms, success rate, queries a second."""
+    seconds = F.expr(f"unix_seconds(timestamp'2000-01-01' + INTERVAL {interval}) - unix_seconds(timestamp'2000-01-01')")
     recent = df.filter(F.col(ts) > as_of - F.expr(f"INTERVAL {interval}"))
     return recent.agg(
         F.count("*").alias("n"), F.round(F.avg(ms), 4).alias("avg_ms"), F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"),
-        F.round(F.avg(ok.cast("double")), 4).alias("success_rate"),
+        F.round(F.avg(ok.cast("double")), 4).alias("success_rate"), F.round(F.count("*") / seconds, 6).alias("qps"),
     )
 
 

@@ -19,7 +19,7 @@ from ..errors import BulkError
 from ..operators.bulk import range_id
 from ..ranges import PORTABLE
 from . import render
-from .scratch import read_text, write_text
+from .scratch import file_system, read_text, write_text
 
 
 @dataclass
@@ -81,6 +81,8 @@ def export(
         seen, began = Observation(), time.monotonic()
         rows = ranged.filter(F.col("__range").isin(group)).drop("__range").observe(seen, F.count("*").alias("n"))
         path = f"{output}/ranges-{group[0]:06d}-{group[-1]:06d}"
+        _, at, fs = file_system(spark, path)
+        fs.delete(at, True)  # what an interrupted run left; the manifest does not name it
         try:
             WRITERS[fmt](rows, path, **options)
         except Exception as e:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
+from ..errors import ConfigError
+
 
 def file_system(spark: SparkSession, path: str):
     """Hadoop's Path class, the path as one, and its file system."""
@@ -17,11 +20,20 @@ def file_system(spark: SparkSession, path: str):
     return kind, at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir. Where that is unset, local sessions get a temporary folder; clusters get an error."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ConfigError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="ringfold-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
-    """A new path below spark.checkpoint.dir (where unset, a temporary folder of this machine), deleted at the end."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="ringfold-")
-    path = f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    """A new path in the shared storage, deleted at the end."""
+    path = shared_path(spark, "scratch")
     try:
         yield path
     finally:
@@ -42,7 +54,7 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file whole: to another name first, then renamed."""
+    """Write a small text file whole: to another name first, which then takes the place of the old one in one step."""
     kind, at, fs = file_system(spark, path)
     part = kind(f"{path}.{uuid.uuid4().hex}")
     stream = fs.create(part, True)
@@ -50,6 +62,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    fs.delete(at, False)
-    if not fs.rename(part, at):
-        raise OSError(f"cannot write {path}")
+    jvm = spark.sparkContext._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(part, at, how)

@@ -1,7 +1,7 @@
 """Per-sensor windows of a stream: at most so many readings, none older than so many seconds.
 
-State is a key's readings within the window; it is bounded by the row cap, expires by event time,
-and is kept by the state store, so a restarted query goes on where it stopped.
+State is a key's readings within the window; it is bounded by the row cap, removed once the watermark (the
+newest reading less the window) has passed the key's last reading by the window, and is kept by the state store, so a restarted query goes on where it stopped.
 """
 
 from __future__ import annotations
@@ -29,16 +29,21 @@ def sensor_windows(spark: SparkSession, path: str, max_rows: int = MAX_ROWS, max
     """user_id, n, avg_value of each sensor's last window."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # nothing of the key is in any window to come
+            state.remove()
+            return
         at, values = state.get if state.exists else ([], [])
         at, values = list(at), list(values)
         for batch in batches:
             at, values = trimmed(at + batch["at"].tolist(), values + batch["value"].tolist(), max_rows, max_seconds)
         state.update((at, values))
+        state.setTimeoutTimestamp(max(int((at[-1] + max_seconds) * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"user_id": [key[0]], "last_at": [at[-1]], "n": [len(at)], "avg_value": [sum(values) / len(values)]})
 
     at = (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at")
-    stream = file_stream(spark, path).select("user_id", at, "value").groupBy("user_id").applyInPandasWithState(
-        step, "user_id long, last_at double, n long, avg_value double", "at array<double>, value array<double>", "update", GroupStateTimeout.NoTimeout
+    events = file_stream(spark, path).withColumn("time", F.col("ts").cast("timestamp")).withWatermark("time", f"{int(max_seconds)} seconds")
+    stream = events.select("user_id", "time", at, "value").groupBy("user_id").applyInPandasWithState(
+        step, "user_id long, last_at double, n long, avg_value double", "at array<double>, value array<double>", "update", GroupStateTimeout.EventTimeTimeout
     )
     last = run_to_end(stream, "update").groupBy("user_id").agg(F.max_by(F.struct("n", "avg_value"), "last_at").alias("w"))
     return last.select("user_id", F.col("w.n").alias("n"), F.round("w.avg_value", 4).alias("avg_value"))

@@ -7,12 +7,11 @@ too: results are those of complete mode, which keeps a row for each window and k
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.scratch import scratch
+from ..sinks.scratch import scratch, shared_path
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -32,16 +31,23 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 
 
 def run_to_end(stream: DataFrame, mode: str) -> DataFrame:
-    """Run a stream over all that is there; return what it emitted last (complete), or all that it emitted."""
+    """Run a stream over all that is there; return what it emitted last (complete), or all that it emitted.
+
+    Executors write each batch to the shared storage; nothing gathers on the driver.
+    """
     spark = stream.sparkSession
-    name = f"ringfold_{uuid.uuid4().hex}"
+    out, batches = shared_path(spark, "stream"), []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch-{number:08d}")  # a batch that runs again replaces itself
+        batches.append(f"{out}/batch-{number:08d}")
+
     with scratch(spark) as checkpoint:
-        q = (
-            stream.writeStream.outputMode(mode).format("memory").queryName(name)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
+        q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         q.awaitTermination()
-        return spark.table(name)
+    if not batches:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*(batches[-1:] if mode == "complete" else batches))
 
 
 def window_counts(spark: SparkSession, path: str, interval: str = "1 hour") -> DataFrame:

@@ -312,3 +312,50 @@ def test_engine(spark, data):
         assert len(got) == 3 and all(len(r.query_hash) == 12 for r in got)
     with pytest.raises(errors.ConfigError):
         engine.execute("SELECT 1")
+
+
+def test_a_range_that_fails_at_run_time_is_named(spark):
+    rows = spark.range(1000).withColumn("k", F.when(F.col("id") == 700, F.raise_error(F.lit("bad"))).otherwise(F.col("id")).cast("long"))
+    parts = [TokenRange(-1, 499), TokenRange(499, 999)]
+    bad = F.when(F.col("id") > 499, F.col("k")).otherwise(F.col("id"))
+    with pytest.raises(errors.BulkError) as e:
+        bulk.count_ranges(rows, bad, parts)
+    assert set(e.value.failed) == {0, 1}  # the token of the row is asked for by both
+    odd = spark.range(1000).withColumn("k", F.col("id"))
+    assert bulk.count_ranges(odd, F.col("k"), parts) == 1000
+    assert bulk.count_ranges(odd, F.col("k"), [TokenRange(i - 1, i) for i in range(150)]) == 150
+
+
+def test_a_read_leaves_the_threads_job_group(spark):
+    context = spark.sparkContext
+    context.setJobGroup("mine", "work")
+    try:
+        for page in paging.PagedResult(spark.range(30), paging.StreamConfig(10)).pages():
+            assert len(page) == 10 and context.getLocalProperty("spark.jobGroup.id") == "mine"
+        assert context.getLocalProperty("spark.jobGroup.id") == "mine" and context.getLocalProperty("spark.job.description") == "work"
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(name, None)
+
+
+def test_appends_at_once_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ringfold.sinks.snapshots import SnapshotTable
+
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda k: SnapshotTable(spark, str(tmp_path / "t")).append(spark.range(10 * k, 10 * k + 10)), range(4)))
+    assert sorted(got) == [1, 2, 3, 4]
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    assert sorted(r.id for r in table.read().collect()) == list(range(40)) and table.read(2).count() == 20
+
+
+def test_clusters_need_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from ringfold.sinks.scratch import shared_path
+
+    conf = SimpleNamespace(getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(errors.ConfigError):
+        shared_path(SimpleNamespace(sparkContext=conf), "x")
+
