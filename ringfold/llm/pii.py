@@ -5,8 +5,10 @@ and social-security numbers, access keys, values of passwords and tokens, and na
 honorific. Each has an identity that ignores spelling (case, separators, a leading country
 code), and its surrogate is a keyed hash of type, identity and attempt, so that all mentions of
 one entity agree in every document and on every machine without a table; the surname after an
-honorific agrees with or without a given name. The surrogate keeps separators, lengths, letter case,
-check digits, network and country digits; names keep script and gender.
+honorific agrees with or without a given name. The surrogates of numbers keep separators, lengths,
+check digits, network and country digits; e-mail addresses are lower-case under example domains and of any length; names
+keep script, gender and the letter case of each mention, not their length. Scripts without case have no sign of
+where a name ends but white space: of Han, Hangul and kana at most four letters after the honorific are taken.
 
 A given name is one identity whatever its honorifics. Its gender is settled once for the corpus: a
 gendered mention beats one without gender, and a name of both genders has none. Only its ending
@@ -33,6 +35,7 @@ from __future__ import annotations
 
 import hmac
 import re
+import secrets
 import string
 from collections.abc import Iterator
 
@@ -45,8 +48,10 @@ from .common import documents, map_arrow, staged
 
 BROADCAST_EXCEPTIONS = 50_000
 MAX_ATTEMPTS = 64
-#: The secret of the keyed hash; give your own in production.
-KEY = b"ringfold"
+#: The Spark setting with the secret of the keyed hash. Where it is unset a session draws its own, so surrogates hold for that session.
+KEY_SETTING = "spark.ringfold.pii.key"
+#: From these attempts on, surrogates are drawn from all of a format's values, and secrets grow longer.
+WIDE, LONGER = 8, 16
 
 # Honorifics by gender.
 HONORIFICS = {
@@ -79,6 +84,20 @@ SYLLABLES = {
     "cyrillic": "ба бе бо ва ве ви во га го да де до ка ки ко ла ле ли ло ма ме ми мо на не но па пе ра ре ри ро са се со та те ти то фа фе",
     "greek": "βα βε βο γα γε δα δε δι θα θε κα κε κο λα λε λι λο μα με μι μο να νε νο πα πε ρα ρε ρι ρο σα σε σο τα τε τι το",
 }
+# Syllables of invented names in scripts without case; other scripts get Latin names.
+SYLLABLES |= {
+    "han": "安 文 林 江 河 山 石 田 木 本 東 西 南 北 光 明 春 秋 冬 夏 海 川 原 野 谷 村 松 竹 梅 杉",
+    "hangul": "가 나 다 라 마 바 사 아 자 하 고 노 도 로 모 보 소 오 조 호 기 니 디 리 미 비 시 이 지 희",
+    "kana": "あ い う え お か き く け こ さ し す せ そ た ち つ て と な に ね の は ひ ふ へ ほ ま",
+    "arabic": "با تا دا را سا فا كا لا ما نا بو دو رو سو كو لو مو نو بي دي ري سي كي لي مي ني",
+    "hebrew": "בא גא דא הא זא טא יא כא לא מא נא סא פא רא שא תא בי גי די לי מי ני רי שי תי",
+}
+_BLOCKS = (
+    (0x370, 0x400, "greek"), (0x400, 0x530, "cyrillic"), (0x590, 0x600, "hebrew"), (0x600, 0x700, "arabic"), (0x3040, 0x3100, "kana"),
+    (0x3400, 0xA000, "han"), (0xAC00, 0xD7B0, "hangul"), (0x1F00, 0x2000, "greek"),
+)
+#: Letters of a name in scripts that write words without spaces between.
+UNSPACED, UNSPACED_LETTERS = ("han", "kana", "hangul"), 4
 ENDINGS = {
     ("latin", "given", "f"): "na la ra", ("latin", "given", "m"): "n r k", ("latin", "given", "u"): "s l m",
     ("latin", "surname", ""): "ton son man berg let",
@@ -91,7 +110,7 @@ ENDINGS = {
 
 def script_of(word: str) -> str:
     c = ord(word[0])
-    return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
+    return next((name for low, high, name in _BLOCKS if low <= c < high), "latin")
 
 
 class Stream:
@@ -153,18 +172,20 @@ def surrogate(key: bytes, kind: str, identity: str, attempt: int = 0) -> str:
         if attempt >= 4:  # short names run out of others
             new += "".join(rng.pick(string.ascii_lowercase) for _ in range(attempt // 2))
         return f"{new}@{label}.example.{host.pick(['com', 'net', 'org'])}"
+    if kind == "ip" and attempt >= WIDE:
+        return ".".join(str(rng.below(256)) for _ in range(4))
     if kind == "ip":
         return ".".join(str(x) for x in (240 + rng.below(15), rng.below(256), rng.below(256), 1 + rng.below(254)))
     if kind == "access":
         return identity[:4] + "".join(rng.pick(string.ascii_uppercase + "234567") for _ in identity[4:])
     if kind == "secret":
-        return _masked(identity, rng)
+        return _masked(identity, rng) + "".join(rng.pick(string.ascii_lowercase) for _ in range(max(0, attempt - LONGER)))
     if kind == "iban":
         body = "".join(rng.pick(string.digits) if c.isdigit() else rng.pick(string.ascii_uppercase) for c in identity[4:])
         check = 98 - int("".join(str(int(c, 36)) for c in body + identity[:2] + "00")) % 97
         return f"{identity[:2]}{check:02d}{body}"
     if kind == "ssn":
-        return "9" + "".join(rng.pick(string.digits) for _ in identity[1:])
+        return ("9" if attempt < WIDE else rng.pick(string.digits)) + "".join(rng.pick(string.digits) for _ in identity[1:])
     if kind == "card":
         body = identity[0] + "".join(rng.pick(string.digits) for _ in identity[1:-1])
         valid = [d for d in string.digits if luhn(body + d) == luhn(identity)]
@@ -175,7 +196,7 @@ def surrogate(key: bytes, kind: str, identity: str, attempt: int = 0) -> str:
     part, script, gender = kind.split(":")
     count = 2 + rng.below(2) + attempt // 4
     stem = "".join(rng.pick(SYLLABLES[script].split()) for _ in range(count))
-    return stem + rng.pick(ENDINGS[script, part, gender].split())
+    return stem + rng.pick(ENDINGS.get((script, part, gender), "").split() or [""])
 
 
 def _identity(kind: str, text: str) -> str:
@@ -254,29 +275,35 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Entities in order: start, end, kind, identity."""
     found = []
     named = False
-    for m in PATTERN.finditer(text):
+    at = 0
+    while m := PATTERN.search(text, at):
         kind = m.lastgroup
         if kind != "name":
-            start, end = m.span(kind)
+            start, at = m.span(kind)[0], m.end()
+            end = m.end(kind)
             found.append((start, end, kind, _identity(kind, m[kind])))
             continue
         gender = _GENDER[m["title"].lower()]
         words = []
         for w in re.finditer(_NAME, m["name"]):
-            if not w[0][0].isupper():
+            if w[0][0].islower():
                 break
             words.append(w)
+            if not w[0][0].isupper() and script_of(w[0]) in UNSPACED:
+                break
         named = named or bool(words)
+        at = m.start("name") + words[-1].end() if words else m.start("name")  # an honorific may follow the words that are no name
         for i, w in enumerate(words):
             start = m.start("name") + w.start()
             script = script_of(w[0])
+            end = start + (min(len(w[0]), UNSPACED_LETTERS) if script in UNSPACED else len(w[0]))
             if i < len(words) - 1:
-                found.append((start, start + len(w[0]), f"given:{script}:{gender}", w[0].casefold()))
+                found.append((start, end, f"given:{script}:{gender}", text[start:end].casefold()))
             else:
-                stem = w[0].casefold()
+                stem = text[start:end].casefold()
                 if script == "cyrillic" and gender == "f" and stem.endswith("а"):
                     stem = stem[:-1]
-                found.append((start, start + len(w[0]), f"surname:{script}:", stem))
+                found.append((start, end, f"surname:{script}:", stem))
     return sorted(found + _further(text, found)) if named else found
 
 
@@ -407,7 +434,17 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def replace(docs: DataFrame, key: bytes = KEY, broadcast: int = BROADCAST_EXCEPTIONS) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session is set to use, or one drawn for its context."""
+    context = spark.sparkContext
+    if given := spark.conf.get(KEY_SETTING, None):
+        return given.encode()
+    if not hasattr(context, "_ringfold_pii_key"):
+        context._ringfold_pii_key = secrets.token_bytes(32)
+    return context._ringfold_pii_key
+
+
+def replace(docs: DataFrame, key: bytes, broadcast: int = BROADCAST_EXCEPTIONS) -> DataFrame:
     """One row per document: doc_id, n_entities and the text with every entity replaced."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = staged(united(map_arrow(docs.select("text"), _identities, "kind string, identity string")), "pii-identities")
@@ -427,4 +464,4 @@ def replace(docs: DataFrame, key: bytes = KEY, broadcast: int = BROADCAST_EXCEPT
 
 
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace(documents(spark, sf_dir))
+    return replace(documents(spark, sf_dir), session_key(spark))

@@ -5,9 +5,10 @@ or 2) embeds it so that the Manhattan distance of two vectors never exceeds the
 of the fingerprints. The vector is kept in unary code in one long, so that this distance is the
 popcount of an XOR.
 
-Grid range-join: the 32 counts are cut into 6 sub-vectors. Two vectors at Manhattan distance 4 or
-less differ in at most 4 of them, so they agree in 2 at least, and each fingerprint is dealt to
-the 15 cells (pair of sub-vectors, their counts). Pairs within a cell pass the Manhattan bound
+Grid range-join: the 32 counts are cut into m sub-vectors. Two vectors at Manhattan distance 4 or
+less differ in at most 4 of them, so they agree in m - 4 at least, and each fingerprint is dealt to
+the cells (m - 4 sub-vectors, their counts) of all choices. m is 6 (15 cells a fingerprint), and 8 or 10 for
+more fingerprints (70, 210), whose cells are finer; the pairs found are the same. Pairs within a cell pass the Manhattan bound
 first and the exact Hamming distance then. Only distinct fingerprints enter the grid, a cell emits
 a spanning forest and not its pairs, and a cell of over BLOCK fingerprints is dealt as pairs of
 blocks, so that no task holds more than two blocks of it.
@@ -15,7 +16,7 @@ blocks, so that no task holds more than two blocks of it.
 Edge cases: null or empty text (or one without a word) has fingerprint zero, linked like any
 other; fewer than `width` words form one shingle; repeated rows and equal fingerprints share a
 component; a null doc_id is never a component's id unless no other is reachable; an empty table
-gives no rows; other columns are not read.
+gives no rows; other columns are not read. Rows are told apart by 128 bits of hash of doc_id and text.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ from .graph import components
 WIDTH = 4
 SEED = 42
 MAX_BITS = 4
-#: Bits of the six sub-vectors, two for each segment.
-PARTS = (10, 10, 10, 10, 12, 12)
+#: Sub-vectors by the number of fingerprints: up to so many, and beyond.
+PARTS = ((6, 1 << 24), (8, 1 << 30), (10, 1 << 62))
 BLOCK = 1024
 EVEN = 0x5555555555555555
 #: Shingles whose bits are counted at once.
@@ -70,12 +71,16 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "rid", "fp"])
 
 
+def row_key():
+    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit("2"), "text", "doc_id").alias("b"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, rid (a hash of doc_id and text) and fp of every document."""
+    """doc_id, rid (hashes of doc_id and text) and fp of every document."""
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rid"), F.encode(F.col("text"), "UTF-8").alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("rid"), F.encode(F.col("text"), "UTF-8").alias("text")
     )
-    return map_arrow(rows, _fingerprints, "doc_id long, rid long, fp long")
+    return map_arrow(rows, _fingerprints, "doc_id long, rid struct<a:long,b:long>, fp long")
 
 
 def unary(fp: str = "fp"):
@@ -86,16 +91,14 @@ def unary(fp: str = "fp"):
     )
 
 
-def cells(nodes: DataFrame) -> DataFrame:
-    """fp, embed and cell: the 15 grid cells of each fingerprint."""
-    starts = [sum(PARTS[:i]) for i in range(len(PARTS))]
-    part = [
-        F.shiftrightunsigned(F.col("embed"), s).bitwiseAND(F.lit((1 << n) - 1)) for s, n in zip(starts, PARTS)
-    ]
-    keys = [
-        F.lit(k << 24).cast("long").bitwiseOR(F.shiftleft(part[i], 12)).bitwiseOR(part[j])
-        for k, (i, j) in enumerate(combinations(range(len(PARTS)), 2))
-    ]
+def cells(nodes: DataFrame, parts: int = 6, max_bits: int = MAX_BITS) -> DataFrame:
+    """fp, embed and cell: the grid cells of each fingerprint. A cell's key: the choice, then the embedding with all others zero."""
+    edges = [round(32 * i / parts) * 2 for i in range(parts + 1)]
+    mask = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+    keys = []
+    for k, own in enumerate(combinations(range(parts), parts - max_bits)):
+        m = sum(mask[i] for i in own)
+        keys.append(F.struct(F.lit(k).alias("choice"), F.col("embed").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("counts")))
     return nodes.withColumn("embed", unary()).select("fp", "embed", F.explode(F.array(*keys)).alias("cell"))
 
 
@@ -136,11 +139,11 @@ def _linker(max_bits: int):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            # order: cell, pair, side, fp, embed
+            # order: choice, counts, pair, side, fp, embed
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
-            last = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])
+            last = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
             cut = int(np.argmax(last))
             held = [c[cut:] for c in cols]
             if cut:
@@ -149,8 +152,8 @@ def _linker(max_bits: int):
             yield from spanned(held)
 
     def spanned(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cell, pair, side, fp, embed = cols
-        key = np.cumsum(np.r_[0, (np.diff(cell) != 0) | (np.diff(pair) != 0)])
+        choice, counts, pair, side, fp, embed = cols
+        key = np.cumsum(np.r_[0, (np.diff(choice) != 0) | (counts[1:] != counts[:-1]) | (np.diff(pair) != 0)])
         if found := forest(key, side, fp.view(np.uint64), embed.view(np.uint64), max_bits):
             a, b = np.array(found).T
             yield pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], ["a", "b"])
@@ -158,9 +161,10 @@ def _linker(max_bits: int):
     return link
 
 
-def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, parts: int | None = None) -> DataFrame:
     """Links (a, b) of distinct fingerprints at max_bits or fewer differing bits, up to connectivity."""
-    dealt = cells(nodes)
+    parts = parts or next(m for m, most in PARTS if nodes.count() <= most)
+    dealt = cells(nodes, parts, max_bits)
     full = staged(
         dealt.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > block)
         .select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "full-cells",
@@ -184,13 +188,14 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
             "embed",
         )
     dealt = split.repartition("cell", "pair").sortWithinPartitions("cell", "pair")
+    dealt = dealt.select(F.col("cell.choice").alias("choice"), F.col("cell.counts").alias("counts"), "pair", "side", "fp", "embed")
     return map_arrow(dealt, _linker(max_bits), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, rid, fp (signed long), component_id and the rid of the one that stays."""
-    if max_bits > len(PARTS) - 2:
-        raise ValueError(f"the grid finds distances up to {len(PARTS) - 2}")
+    if max_bits > PARTS[0][0] - 2:
+        raise ValueError(f"the grid finds distances up to {PARTS[0][0] - 2}")
     rows = staged(fingerprints(docs), "fingerprints")
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "rid")).alias("first")
     nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), first), "fp-nodes")
@@ -208,11 +213,25 @@ BROADCAST_ROWS = 500_000
 
 
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the smallest doc_id of every component, with all its columns."""
-    lost = staged(near_duplicates(docs, max_bits).filter("rid <> stays").select(F.col("rid").alias("__rid")).distinct(), "near-lost")
-    rid = F.xxhash64("doc_id", "text")
-    drop = F.broadcast(lost) if lost.count() <= BROADCAST_ROWS else lost
-    return docs.withColumn("__own", rid).join(drop, F.col("__own") == F.col("__rid"), "left_anti").drop("__own")
+    """The document with the smallest doc_id of every component, with all its columns. Of rows equal in doc_id and text, one of them."""
+    found = staged(near_duplicates(docs, max_bits).select("rid", "stays"), "near-judged")
+    lost = found.filter("rid <> stays").select("rid").distinct()
+    same = found.filter("rid = stays").groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").select("rid")
+    own = "__row"
+    while own in docs.columns:
+        own += "_"
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.withColumn(own, row_key())
+
+    def of(keys: DataFrame, how: str) -> DataFrame:
+        keys = staged(keys.toDF(f"{own}key"), "near-keys")
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+        return rows.join(keys, F.col(own) == F.col(f"{own}key"), how)
+
+    rows = of(lost, "left_anti")
+    if same.isEmpty():
+        return rows.select(*names)
+    return of(same, "left_anti").select(*names).unionByName(of(same, "left_semi").dropDuplicates([own]).select(*names))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

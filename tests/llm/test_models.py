@@ -241,14 +241,14 @@ def test_replace(spark):
     rows = [(1, TEXT), (2, TEXT), (3, None), (4, ""), (None, "plain words only"), (5, " ".join(f"a{i}@b.com" for i in range(3000)))]
     rows += [(100 + i, f"x{i}@y.org") for i in range(50)]
     docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, kind string")
-    got = {r.doc_id: r for r in pii.replace(docs).collect()}
+    got = {r.doc_id: r for r in pii.replace(docs, b"k").collect()}
     assert got[1].text == got[2].text != TEXT and got[3].text is None and got[4].text == "" and got[None].text == "plain words only"
     sub = got[5].text.split()
     assert len(set(sub)) == 3000 and got[5].n_entities == 3000
     assert all(got[i].n_entities == 0 for i in (3, 4, None))
-    other = {r.doc_id: r.text for r in pii.replace(docs, broadcast=-1).collect()}
+    other = {r.doc_id: r.text for r in pii.replace(docs, b"k", broadcast=-1).collect()}
     assert other == {i: r.text for i, r in got.items()}
-    assert pii.replace(docs.limit(0)).collect() == []
+    assert pii.replace(docs.limit(0), b"k").collect() == []
 
 
 def test_collisions_are_settled(spark):

@@ -8,7 +8,7 @@ def _docs(spark, texts):
 
 
 def _texts(docs, **kw):
-    return [r.text for r in sorted(pii.replace(docs, **kw).collect(), key=lambda r: r.doc_id)]
+    return [r.text for r in sorted(pii.replace(docs, b"k", **kw).collect(), key=lambda r: r.doc_id)]
 
 
 def test_a_given_name_is_one_identity(spark):
@@ -70,3 +70,39 @@ def test_further_mentions_over_the_corpus(spark):
     name = got[1][3:]
     assert got[0] == f"Frau {name}; {name}, {name.split()[1].upper()}"
     assert got[2] == "Anna Meier"  # no honorific in the text: not found
+
+
+def test_names_without_case():
+    new = _replaced("Mr. 山田太郎 came, then Mr 김철수 and Dr كريم حسن.")
+    assert not any(x in new for x in ("山田", "김철수", "كريم", "حسن")) and new.startswith("Mr. ") and " came, then Mr " in new
+    assert pii.script_of(new[4]) == "han" and pii.script_of(new.split("Mr ")[1]) == "hangul"
+
+
+def test_crowded_formats_are_settled(spark):
+    """All six-digit numbers of one prefix are identities: their surrogates leave the format rather than collide."""
+    who = spark.createDataFrame([("secret", f"{i:02d}") for i in range(100)], "kind string, identity string")
+    rows = pii.settle(who, b"k").collect()
+    assert len({r.surrogate for r in rows}) == 100 and not {r.surrogate for r in rows} & {r.identity for r in rows}
+
+
+def test_the_session_sets_the_key(spark):
+    assert pii.session_key(spark) == pii.session_key(spark) and len(pii.session_key(spark)) == 32
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    assert pii.session_key(spark) == b"mine"
+    spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_every_text_against_plain_code(spark):
+    """The whole result: each text with its entities replaced by what `settle` gives their identities."""
+    texts = ["Mr. John Smith, a@b.org, 10.1.2.3", "Dr Smith: SSN 123-45-6789, a@b.org", "nothing", "Frau Eva Smith, 10.1.2.3 and 10.1.2.4"]
+    docs = _docs(spark, texts)
+    got = _texts(docs)
+    found = {(pii.entity(k), who): k for x in texts for _, _, k, who in pii.detect(x)}
+    named = {(k, who) for (_, who), k in found.items()}
+    table = {(r.kind, r.identity): r.surrogate for r in pii.settle(spark.createDataFrame(sorted(named), "kind string, identity string"), b"k").collect()}
+    for text, new in zip(texts, got):
+        out, end = "", 0
+        for a, b, kind, who in pii.detect(text):
+            out += text[end:a] + pii.render(text[a:b], kind, who, table[kind, who])
+            end = b
+        assert new == out + text[end:]
