@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -40,6 +41,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs left. Spark removes shuffles and broadcasts only after the driver's own garbage is
+    collected, which long loops of small jobs put off while they pile up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a work path that nothing reads any more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -36,8 +36,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import documents, map_arrow, staged
+from .common import documents, map_arrow, release, staged, work_path
 from .words import chunks
 
 CAPACITY = 2048
@@ -209,8 +210,8 @@ def opened(active: DataFrame, first: int, capacity: int, whole: bool = False) ->
     return rows.select(F.lit(1).alias("kind"), "id", "size", mate.alias("mate"), F.lit(0).alias("used"))
 
 
-def pairs(cut: DataFrame, capacity: int = CAPACITY) -> list[DataFrame]:
-    """The sequence (mate) of every piece (id, size), in tables by superstep. cut: id, size of the pieces."""
+def pairs(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame | None:
+    """The rows of all supersteps, in which each piece has its sequence (mate) once. cut: id, size of the pieces."""
     bounds = [capacity // k for k in CLASSES if capacity // k] + [0]
     of = F.size(F.filter(F.array(*map(F.lit, bounds[1:-1])), lambda b: F.col("size") <= b)) if len(bounds) > 2 else F.lit(0)
     present = {r["of"]: r["n"] for r in cut.groupBy(of.alias("of")).agg(F.count("*").alias("n")).collect()}
@@ -218,10 +219,16 @@ def pairs(cut: DataFrame, capacity: int = CAPACITY) -> list[DataFrame]:
     rest = lambda m: m.filter("kind = 0").groupBy("id").agg((F.min("size") - F.sum("used")).cast("int").alias("size")).filter("size > 0")
     spark, done, gaps, first = cut.sparkSession, [], None, 0
 
+    root = work_path(spark, "pack-steps")
+
+    def written(step: DataFrame) -> DataFrame:
+        done.append(f"{root}/step={len(done)}")
+        step.write.parquet(done[-1])
+        return spark.read.schema(step.schema).parquet(done[-1])
+
     def swept(active: DataFrame, gaps: DataFrame, n: int, most: int, hi: int) -> tuple[DataFrame, DataFrame, int]:
         for _ in range(MOST_SWEEPS):
-            step = staged(sweep(gaps, active, hi, capacity), "pack-sweep")
-            done.append(step)
+            step = written(sweep(gaps, active, hi, capacity))
             active, gaps = left(step), rest(step)
             was, n = n, active.count()
             if n == 0 or was - n < SETTLED * most:
@@ -229,6 +236,7 @@ def pairs(cut: DataFrame, capacity: int = CAPACITY) -> list[DataFrame]:
         return active, gaps, n
 
     for k in sorted(present):
+        release(spark)
         hi, n = bounds[k], present[k]
         active = cut.filter((F.col("size") <= hi) & (F.col("size") > bounds[k + 1])).select("id", "size")
         if gaps is not None:
@@ -237,8 +245,7 @@ def pairs(cut: DataFrame, capacity: int = CAPACITY) -> list[DataFrame]:
         for whole in (True, False) if k == max(present) else (False,):
             if n == 0:
                 break
-            step = staged(opened(active, first, capacity, whole), "pack-opened")
-            done.append(step)
+            step = written(opened(active, first, capacity, whole))
             fresh = step.filter("mate IS NOT NULL").groupBy(F.col("mate").alias("id"))
             fresh = fresh.agg((F.lit(capacity) - F.sum("size")).cast("int").alias("size")).filter("size > 0")
             gaps = fresh if gaps is None else gaps.union(fresh)
@@ -250,19 +257,16 @@ def pairs(cut: DataFrame, capacity: int = CAPACITY) -> list[DataFrame]:
                 gaps = gaps.union(spark.range(first, first + new).select("id", F.lit(capacity).alias("size")))
                 first += new
                 active, gaps, n = swept(active, gaps, n, n, hi)
-    return done
+    return spark.read.schema(T.StructType([*step.schema.fields, T.StructField("step", T.IntegerType())])).option("basePath", root).parquet(*done) if done else None
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to a table of pieces."""
     cut = staged(cut.withColumn("id", F.monotonically_increasing_id()), "pieces")
     steps = pairs(cut.select("id", F.col("length").cast("int").alias("size")), capacity)
-    if not steps:
+    if steps is None:
         return cut.select(*cut.columns[:-1], F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
-    found = None
-    for k, step in enumerate(steps):
-        own = step.filter("kind = 1 AND mate IS NOT NULL").select("id", "size", F.col("mate").alias("sequence_id"), F.lit(k).alias("step"))
-        found = own if found is None else found.union(own)
+    found = steps.filter("kind = 1 AND mate IS NOT NULL").withColumnRenamed("mate", "sequence_id")
     before = W.partitionBy("sequence_id").orderBy("step", "id").rowsBetween(W.unboundedPreceding, -1)
     placed = found.select("id", "sequence_id", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("offset"))
     return cut.join(placed, "id").select(*cut.columns[:-1], "sequence_id", "offset")

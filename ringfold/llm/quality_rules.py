@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, map_arrow, ship, staged
+from .common import documents, map_arrow, release, ship, staged
 from .textstats import CHUNK_BYTES, COLUMNS, measure, text_stats
 from .words import chunks
 
@@ -46,7 +46,7 @@ FLOORS = (0.06, 0.25, 0.15, 0.35, 0.2)
 NEAREST = 0.75
 MOST_STEPS = 30
 #: A start has settled when the log of its determinant falls by less.
-SETTLED = 1e-6
+SETTLED = 1e-5
 #: Documents that a group's parent counts for.
 SHRINK = 100
 #: Groups of up to so many documents are ranked one by one; larger ones by bins of 1/32 of a doubling.
@@ -212,6 +212,7 @@ def concentrated(rows: DataFrame, share: float = NEAREST) -> DataFrame:
 
 def fit(vectors: DataFrame, shrink: float = SHRINK) -> DataFrame:
     """key, centre and inverse of each language and source. vectors: k0, k1, k2 and x0.. of the documents to learn from."""
+    release(vectors.sparkSession)
     levels = [("k0", F.col("k1")), ("k1", F.col("k2")), ("k2", F.lit("").alias("k3"))]
     named = F.explode(F.array(*[F.struct(F.col(k).alias("key"), p.alias("parent")) for k, p in levels])).alias("of")
     rows = vectors.select(named, *X).select("of.key", "of.parent", *X)

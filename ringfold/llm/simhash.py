@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow, staged
+from .common import documents, map_arrow, release, staged
 from .graph import components
 
 WIDTH = 4
@@ -197,6 +197,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits > PARTS[0][0] - 2:
         raise ValueError(f"the grid finds distances up to {PARTS[0][0] - 2}")
     rows = staged(fingerprints(docs), "fingerprints")
+    release(docs.sparkSession)
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "rid")).alias("first")
     nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), first), "fp-nodes")
     linked = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow, staged
+from .common import documents, map_arrow, release, staged
 from .words import chunks, coded, hashed, mixed, rolling
 
 WIDTH = 35
@@ -361,6 +361,7 @@ def repeated_places(
     # partition and place in it, so that a row and a window in it fit one long
     nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     segs = staged(segs.withColumn("row", F.shiftleft(F.spark_partition_id().cast("long"), 28) + nth), "segments")
+    release(spark)
     windows = map_arrow(segs.select("row", "text"), _window_counter(width), "h1 long, h2 int, n long, place long")
     row, at = F.shiftright("place", LONG.bit_length() - 1).alias("row"), F.col("place").bitwiseAND(F.lit(LONG - 1)).cast("int")
     confirmed = (
@@ -384,6 +385,7 @@ def drop_repeats(
     docs = docs.withColumns({"r1": F.xxhash64("doc_id", "text"), "r2": F.xxhash64(F.lit("2"), "text", "doc_id")})
     found = repeated_places(docs, width, phrase, sampled, shard_words, bits)
     places = staged(found.groupBy("r1", "r2").agg(F.collect_set(F.struct("at", "length")).alias("places")), "repeated-places")
+    release(docs.sparkSession)
     rows = docs.join(places.hint("shuffle_hash"), ["r1", "r2"], "left").select("doc_id", "text", "places")
     return map_arrow(rows, _cleaner(width), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
