@@ -53,7 +53,7 @@ MOST_SWEEPS = 12
 MOST_PLACES = 64
 #: Bytes of text encoded at once, and words whose ids a worker keeps.
 CHUNK_BYTES = 4 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 #: Characters of which a word can be split and merged on its own: no white space, no special
 #: token, nothing that normalisation changes but case.
