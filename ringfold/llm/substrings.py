@@ -368,6 +368,9 @@ def repeated_places(
         windows.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
         .filter("n > 1").groupBy(row).agg(F.collect_list(at).alias("ats"))
     )
+    # written, so that the windows' shuffle, the largest, is gone before the pieces are shuffled
+    confirmed = staged(confirmed, "confirmed-windows")
+    release(spark)
     marked = segs.join(confirmed, "row", "left").select("r1", "r2", "at", "text", "anchors", "cuts", "ats")
     pieces = map_arrow(marked, _cutter(width), "anchor long, known boolean, r1 long, r2 long, at long, text string")
     return (
