@@ -25,10 +25,28 @@ def last_rows_stats(df: DataFrame, key: str, order: list[Column], value: str, ro
     return df.select("*", F.avg(value).over(w).alias("avg_value"), F.count("*").over(w).alias("n"))
 
 
-def sensor_summary(stats: DataFrame, key: str, ts: str) -> DataFrame:
-    """One row over the last window of each key: keys, readings in windows, unweighted mean of averages."""
-    last = stats.groupBy(key).agg(F.max_by("n", ts).alias("n"), F.max_by("avg_value", ts).alias("avg_value"))
-    return last.agg(F.count("*").alias("n_sensors"), F.sum("n").alias("n_readings"), F.round(F.avg("avg_value"), 2).alias("mean_of_means"))
+def capped_stats(df: DataFrame, key: str, ts: str, tie: str, values: list[str], interval: str, rows: int) -> DataFrame:
+    """Windows that end with a reading and hold what is both in the interval and among the key's last `rows` readings: n, and
+    average, least and greatest of each value. Both frames end with the reading, so the shorter one is the window; readings of one
+    time are in one interval frame, and count by tie among the last rows.
+    """
+    spans = {
+        "t": f"OVER (PARTITION BY {key} ORDER BY {ts} RANGE BETWEEN INTERVAL {interval} PRECEDING AND CURRENT ROW)",
+        "r": f"OVER (PARTITION BY {key} ORDER BY {ts}, {tie} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)",
+    }
+    frames = [F.expr(f"struct(count(*) {s} AS n, {', '.join(f'{f}({v}) {s} AS {f}_{v}' for v in values for f in ('avg', 'min', 'max'))})").alias(f"__{k}") for k, s in spans.items()]
+    names = ["n", *[f"{f}_{v}" for v in values for f in ("avg", "min", "max")]]
+    short = F.when(F.col("__t.n") <= F.col("__r.n"), F.col("__t")).otherwise(F.col("__r"))
+    return df.select("*", *frames).withColumn("__w", short).select(*df.columns, *[F.col(f"__w.{c}").alias(c) for c in names])
+
+
+def sensor_summary(stats: DataFrame, key: str, ts: str, rules: list[Column] | None = None) -> DataFrame:
+    """One row over the last window of each key: keys, readings in windows, unweighted mean of averages. rules: adds
+    n_alerts, the number of rules that readings break, over all readings."""
+    broken = [F.sum(sum((F.coalesce(r, F.lit(False)).cast("long") for r in rules), F.lit(0))).alias("alerts")] if rules else []
+    last = stats.groupBy(key).agg(F.max_by("n", ts).alias("n"), F.max_by("avg_value", ts).alias("avg_value"), *broken)
+    total = [F.coalesce(F.sum("alerts"), F.lit(0)).alias("n_alerts")] if rules else []
+    return last.agg(F.count("*").alias("n_sensors"), F.sum("n").alias("n_readings"), F.round(F.avg("avg_value"), 2).alias("mean_of_means"), *total)
 
 
 def alerts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Brackets of percentiles are sketched to one in so many rows.
+ACCURACY = 100_000
+
 
 def query_stats(df: DataFrame, ts: str, ms: Column, ok: Column, as_of: Column, interval: str) -> DataFrame:
     """One row over what is newer than as_of - interval: number, average, least and greatest ms, success rate, queries a second."""
@@ -50,20 +55,44 @@ def in_flight(protocol: Column) -> Column:
 
 
 def latency_percentiles(df: DataFrame, ms: str, ps: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
-    return df.agg(*[F.round(F.percentile(ms, p), 4).alias(f"p{round(100 * p)}") for p in ps])
+    """Percentiles between ranks 1 + p * (n - 1), exact; nulls are left out, no values give nulls."""
+    found = _at_places(df, ms, ps, lambda n, p: n * p + F.lit(1 - p), F.lit(0))
+    return found.select(*[F.round(f"p{i}", 4).alias(f"p{round(100 * p)}") for i, p in enumerate(ps)])
 
 
 def exclusive_percentile(df: DataFrame, ms: str, p: float) -> DataFrame:
-    """The percentile between ranks p * (n + 1), from a histogram of values and not from gathered rows."""
-    counted = df.groupBy(F.col(ms).cast("double").alias("v")).agg(F.count("*").alias("k"))
-    ranked = counted.withColumn("to", F.sum("k").over(W.orderBy("v"))).withColumn("from", F.col("to") - F.col("k") + 1)
-    place = F.col("total") * F.lit(p) + F.lit(p)
-    ranked = ranked.crossJoin(F.broadcast(counted.agg(F.sum("k").alias("total"))))
-    low = F.greatest(F.lit(1), F.least(F.floor(place), F.col("total") - 1))
-    at = lambda r: F.max(F.when((F.col("from") <= r) & (r <= F.col("to")), F.col("v")))
-    return ranked.agg(at(low).alias("a"), at(low + 1).alias("b"), F.max(place - low).alias("w")).select(
-        (F.col("a") + (F.col("b") - F.col("a")) * F.col("w")).alias("value")
-    )
+    """The percentile between ranks p * (n + 1), exact; past the ends, on the line of the last two values."""
+    return _at_places(df, ms, (p,), lambda n, p: n * p + F.lit(p), F.lit(1)).select(F.col("p0").alias("value"))
+
+
+def _at_places(df: DataFrame, ms: str, ps: tuple[float, ...], place: Callable[[Column, float], Column], room: Column) -> DataFrame:
+    """One row: p0, p1, ... for each p the value at place(n, p) among n ascending values, ranks from 1, linear between two ranks.
+
+    A first pass sketches a bracket around each place. A second counts the values in it one by one and all below and all above as
+    one, combined on the map side. So a task orders about 8 / ACCURACY of the rows at most, one bracket each. The
+    sketch decides no value: a place outside its bracket would give null. room: ranks that must lie above the lower one.
+    """
+    v = F.col("v")
+    rows = df.select(F.col(ms).cast("double").alias("v")).filter(v.isNotNull())
+    ends = [e for p in ps for e in (max(0.0, p - 4 / ACCURACY), min(1.0, p + 4 / ACCURACY))]
+    first = rows.agg(F.struct(F.count("*").alias("n"), F.percentile_approx("v", ends, ACCURACY).alias("ends")).alias("first"))
+    end = lambda k: F.col("first.ends")[k]
+    sides = [F.when(v < end(2 * i), -1).when(v > end(2 * i + 1), 1).otherwise(0) for i in range(len(ps))]
+    dealt = F.array(*[F.struct(F.lit(i).alias("i"), s.alias("side"), F.when(s == 0, v).alias("one"), v.alias("v")) for i, s in enumerate(sides)])
+    parts = rows.withColumn("first", first.scalar()).select(F.col("first.n").alias("n"), F.inline(dealt))
+    parts = parts.groupBy("i", "side", "one").agg(F.count("*").alias("k"), F.min("v").alias("low"), F.max("v").alias("high"), F.max("n").alias("n"))
+    parts = parts.withColumn("to", F.sum("k").over(W.partitionBy("i").orderBy("side", "one"))).withColumn("from", F.col("to") - F.col("k") + 1)
+    out = []
+    for i, p in enumerate(ps):
+        at = place(F.col("n"), p)
+        rank = F.greatest(F.lit(1), F.least(F.floor(at), F.col("n") - room))
+        value = lambda r: F.max(F.when(
+            (F.col("i") == i) & (F.col("from") <= r) & (r <= F.col("to")),  # noqa: B023
+            F.when(r == F.col("to"), F.col("high")).when((r == F.col("from")) | (F.col("low") == F.col("high")), F.col("low")),
+        ))
+        a, b = value(rank), value(F.least(rank + 1, F.col("n")))
+        out.append((a + (b - a) * F.max(at - rank)).alias(f"p{i}"))
+    return parts.agg(*out)
 
 
 def histogram(df: DataFrame, keys: list[str], value: str, bounds: list[float]) -> DataFrame:

@@ -184,6 +184,23 @@ def jsonl_roundtrip(spark, d):
     return _roundtrip(spark, d, "jsonl")
 
 
+@query("SELECT count(*) AS n, sum(o_totalprice)::DECIMAL(20,2) AS total, count(*) AS manifest_rows, 8 AS ranges, 2 AS jobs, 0 AS jobs_again FROM orders")
+def export_resumed(spark, d):
+    """An export by eight ranges in two jobs, run again over its own output, which writes nothing more."""
+    from ..sinks.export import export
+    from ..sinks.scratch import scratch
+
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(20,2)").alias("o_totalprice"))
+    jobs, again = [], []
+    with scratch(spark) as path:
+        export(rows, portable("o_orderkey"), f"{path}/orders", ranges=8, per_job=4, on_progress=jobs.append)
+        done = export(rows, portable("o_orderkey"), f"{path}/orders", ranges=8, per_job=4, on_progress=again.append)
+        back = spark.read.schema(rows.schema).parquet(f"{path}/orders/*")
+        n, total = back.agg(F.count("*"), F.sum("o_totalprice").cast("decimal(20,2)")).first()
+    found = [(n, total, done.rows, len(done.completed), len(jobs), len(again))]
+    return spark.createDataFrame(found, "n long, total decimal(20,2), manifest_rows long, ranges int, jobs int, jobs_again int")
+
+
 _TYPES = {
     "text": "string", "tinyint": "tinyint", "smallint": "smallint", "int": "int", "bigint": "bigint", "counter": "bigint", "varint": "decimal(38,0)",
     "decimal": "decimal(38,10)", "float": "float", "double": "double", "boolean": "boolean", "date": "date", "timestamp": "timestamp", "time": "bigint",
@@ -262,6 +279,15 @@ def max_pages_limit(spark, d):
     return paging.first_pages(table(spark, d, "events").select("event_id", "event_type"), [F.col("event_id").asc()], 100, 3)
 
 
+@query("WITH p AS (SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 100 + 1 AS page FROM events) SELECT page, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM p WHERE page <= 3 GROUP BY ALL")
+def streamed_pages(spark, d):
+    """The first three pages as a streamed read hands them to its caller."""
+    read = paging.PagedResult(table(spark, d, "events").select("event_id").orderBy("event_id"), paging.StreamConfig(fetch_size=100, max_pages=3))
+    with read:
+        pages = [(read.page_number, len(p), p[0].event_id, p[-1].event_id) for p in read.pages()]
+    return spark.createDataFrame(pages, "page long, n long, first_id long, last_id long")
+
+
 @query(
     f"""WITH t AS (SELECT p_partkey, {token_sql("p_partkey")} AS token FROM part), n AS (SELECT * FROM t WHERE token > {RING // 3} ORDER BY token LIMIT 21),
     k AS (SELECT *, row_number() OVER (ORDER BY token) AS i, count(*) OVER () > 20 AS has_next FROM n)
@@ -337,6 +363,36 @@ def sensor_summary(spark, d):
     return sensors.sensor_summary(stats, "user_id", "ts")
 
 
+@query(
+    """WITH s AS (SELECT user_id, ts, avg(value) OVER w AS a, count(*) OVER w AS n FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)),
+    l AS (SELECT user_id, arg_max(n, ts) AS n, arg_max(a, ts) AS a FROM s GROUP BY ALL)
+    SELECT count(*) AS n_sensors, sum(n)::BIGINT AS n_readings, round(avg(a), 2) AS mean_of_means,
+    (SELECT count(*) FILTER (value > 150 OR value < 1) + count(*) FILTER (value > 220) FROM events) AS n_alerts FROM l"""
+)
+def sensor_summary_alerts(spark, d):
+    stats = sensors.sliding_stats(table(spark, d, "events"), "user_id", "ts", "value", "6 HOURS")
+    v = F.col("value")
+    return sensors.sensor_summary(stats, "user_id", "ts", [(v > 150) | (v < 1), v > 220])
+
+
+def _capped_sql(*values: str) -> str:
+    frames = {"t": "(PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)", "r": "(PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"}
+    pick = ", ".join(
+        f"{'round(' * (f == 'avg')}CASE WHEN count(*) OVER t <= count(*) OVER r THEN {f}({v}) OVER t ELSE {f}({v}) OVER r END{', 6)' * (f == 'avg')} AS {f}_{v}"
+        for v in values for f in ("avg", "min", "max")
+    )
+    return f"SELECT event_id, least(count(*) OVER t, count(*) OVER r) AS n, {pick} FROM (SELECT *, length(props) AS size FROM events) WINDOW " + ", ".join(f"{k} AS {w}" for k, w in frames.items())
+
+
+@query(_capped_sql("value", "size"))
+def capped_window_stats(spark, d):
+    e = table(spark, d, "events").withColumn("size", F.length("props").cast("long"))
+    found = sensors.capped_stats(e, "user_id", "ts", "event_id", ["value", "size"], "6 HOURS", 3)
+    rounded = [F.round(c, 6).alias(c) if c.startswith("avg") else F.col(c) for c in found.columns[len(e.columns) :]]
+    return found.select("event_id", *rounded)
+
+
 @query(
     """SELECT event_id, value, 'extreme' AS alert FROM events WHERE value > 150 OR value < 1
     UNION ALL SELECT event_id, value, 'high' FROM events WHERE value > 220"""

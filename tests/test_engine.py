@@ -359,3 +359,23 @@ def test_clusters_need_a_shared_folder(spark):
     with pytest.raises(errors.ConfigError):
         shared_path(SimpleNamespace(sparkContext=conf), "x")
 
+
+
+@pytest.mark.parametrize("values", [[], [5.0], [1.0, 2.0], [3.0] * 7 + [None], [float(v * v % 97) for v in range(500)], [1e-9, 1e9, None, -4.0]])
+def test_percentiles_are_exact(spark, monkeypatch, values):
+    import numpy as np
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    known = sorted(v for v in values if v is not None)
+    for accuracy in (100_000, 40):  # coarse brackets of many values too
+        monkeypatch.setattr(telemetry, "ACCURACY", accuracy)
+        got = telemetry.latency_percentiles(df, "v").first()
+        want = [round(float(x), 4) for x in np.percentile(known, [50, 95, 99])] if known else [None] * 3
+        assert list(got) == pytest.approx(want, abs=1e-4) if known else list(got) == want
+        value = telemetry.exclusive_percentile(df, "v", 0.25).first().value
+        if not known:
+            assert value is None
+            continue
+        at = 0.25 * (len(known) + 1)
+        low = max(1, min(int(at), len(known) - 1))
+        assert value == pytest.approx(known[low - 1] + (known[min(low, len(known) - 1)] - known[low - 1]) * (at - low))
