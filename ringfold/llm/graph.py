@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, uncompiled
 
 MAX_ROUNDS = 60
 
@@ -38,8 +38,9 @@ def components(links: DataFrame) -> DataFrame:
     )
     mark = None
     for _ in range(MAX_ROUNDS):
-        now = staged(_star(staged(_star(now, True), "large-star"), False), "small-star")
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        with uncompiled(now.sparkSession):
+            now = staged(_star(staged(_star(now, True), "large-star"), False), "small-star")
+            new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break
         mark = new

@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, map_arrow, release, staged, work_path
+from .common import documents, map_arrow, release, staged, uncompiled, work_path
 from .words import chunks
 
 CAPACITY = 2048
@@ -263,7 +263,8 @@ def pairs(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame | None:
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to a table of pieces."""
     cut = staged(cut.withColumn("id", F.monotonically_increasing_id()), "pieces")
-    steps = pairs(cut.select("id", F.col("length").cast("int").alias("size")), capacity)
+    with uncompiled(cut.sparkSession):
+        steps = pairs(cut.select("id", F.col("length").cast("int").alias("size")), capacity)
     if steps is None:
         return cut.select(*cut.columns[:-1], F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     found = steps.filter("kind = 1 AND mate IS NOT NULL").withColumnRenamed("mate", "sequence_id")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, map_arrow, release, ship, staged
+from .common import documents, map_arrow, release, ship, staged, uncompiled
 from .textstats import CHUNK_BYTES, COLUMNS, measure, text_stats
 from .words import chunks
 
@@ -216,7 +216,8 @@ def fit(vectors: DataFrame, shrink: float = SHRINK) -> DataFrame:
     levels = [("k0", F.col("k1")), ("k1", F.col("k2")), ("k2", F.lit("").alias("k3"))]
     named = F.explode(F.array(*[F.struct(F.col(k).alias("key"), p.alias("parent")) for k, p in levels])).alias("of")
     rows = vectors.select(named, *X).select("of.key", "of.parent", *X)
-    best = concentrated(rows)
+    with uncompiled(rows.sparkSession):
+        best = concentrated(rows)
     d2 = square_distance([F.col(x) for x in X])
     inside = rows.select("key", *X).join(_sized(best.select("key", "start", "centre", "inverse")), "key").filter(d2 <= chi2_quantile(0.975, P))
     sums = inside.groupBy("key", "start", F.lit(0).alias("bin")).agg(*_moments([F.col(x) for x in X]))

@@ -126,6 +126,14 @@ def test_packing(spark):
     assert packing.best_fit(helpers.frame(spark, [])).collect() == []
 
 
+def test_supersteps_are_not_compiled(spark, monkeypatch):
+    key, seen, real = "spark.sql.codegen.wholeStage", [], packing.sweep
+    monkeypatch.setattr(packing, "sweep", lambda *a: seen.append(spark.conf.get(key)) or real(*a))
+    before = spark.conf.get(key)
+    packing.pack(spark.createDataFrame([(i, 3 + i % 5) for i in range(20)], "doc_id long, length long"), 8)
+    assert seen and set(seen) == {"false"} and spark.conf.get(key) == before
+
+
 def one_at_a_time(lengths, capacity):
     """Sequences of best fit, largest first, each piece into the fullest sequence that holds it."""
     from bisect import bisect_left, insort
