@@ -51,13 +51,20 @@ CLASSES = (1, 2, 4, 8, 16, 64, 512)
 SETTLED = 0.02
 MOST_SWEEPS = 12
 MOST_PLACES = 64
-#: Bytes of text encoded at once, and words whose ids a worker keeps.
+#: Bytes of text encoded at once, and pieces of plain words and other words whose ids a worker keeps.
 CHUNK_BYTES = 4 << 20
-CACHE_WORDS = 250_000
+CACHE_PIECES = 1 << 19
+CACHE_WORDS = 100_000
 
 #: Characters of which a word can be split and merged on its own: no white space, no special
 #: token, nothing that normalisation changes but case.
 _PLAIN = re.compile(r"[\x21-\x3b\x3d-\x7e\xc0-\xff]+").fullmatch
+#: Those without an apostrophe, of one character at least; for Arrow.
+_PLAIN_WORD = r"^[\x21-\x26\x28-\x3b\x3d-\x7e\x{c0}-\x{ff}]+$"
+#: Kind of each byte of a plain lower-case word; a letter's first byte takes the kind of its second.
+_SIGN, _LETTER, _DIGIT, _INNER = range(4)
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[0x61:0x7B], _KINDS[0x30:0x3A], _KINDS[0x80:0xC0] = _LETTER, _DIGIT, _INNER
 # The vocabulary file's own split pattern.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
@@ -69,34 +76,68 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+def _spread(flat: np.ndarray, start: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of flat that each code stands for, in a row, and where each begins (and the last ends)."""
+    count = size[code]
+    bounds = np.r_[0, np.cumsum(count, dtype=np.int64)]
+    return flat[np.repeat(start[code] - bounds[:-1], count) + np.arange(bounds[-1])], bounds
+
+
+class PieceIds:
+    """Ids of lower-case pieces of words, each distinct piece merged once. Arrow and numpy hold what is known, in about 30 bytes a piece."""
+
+    def __init__(self, merge, most: int) -> None:
+        self.merge, self.most, self.letters = merge, most, _byte_letters()
+        self.known, self.flat, self.size = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self.used = np.zeros(0, bool)
+
+    def ids(self, piece: str) -> list[int]:
+        return [t.id for t in self.merge(piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()]))]
+
+    def of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct pieces: ids, where those of each piece begin, and how many they are."""
+        at = pc.fill_null(pc.index_in(pieces, pa.array(self.known)), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            fresh = pieces.take(pa.array(new))
+            lists = [self.ids(p) for p in fresh.to_numpy(zero_copy_only=False)]
+            own = np.fromiter(map(len, lists), np.int64, len(lists))
+            at[new] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.flat = np.r_[self.flat, np.fromiter((i for x in lists for i in x), "<u4", int(own.sum()))]
+            self.size = np.r_[self.size, own]
+            self.used = np.r_[self.used, np.zeros(len(new), bool)]
+        self.used[at] = True
+        flat, size = self.flat, self.size
+        start = np.cumsum(size) - size
+        if len(self.known) > self.most:  # what no text has used since the last time goes, or all but this call's
+            keep = np.flatnonzero(self.used)
+            if len(keep) > self.most // 2:
+                keep = at
+            self.known, self.flat, self.size = self.known.take(pa.array(keep)), _spread(flat, start, size, keep)[0], size[keep]
+            self.used = np.zeros(len(keep), bool)
+        return flat, start[at], size[at]
+
+
 class WordEncoder:
-    """Ids of white-space-separated words by a vocabulary file, each distinct word encoded once.
+    """Ids of white-space-separated words by a vocabulary file.
 
     The vocabulary drops white space and never merges across it, so a text's ids are those of
-    its words in order.
+    its words in order. Words of plain characters are cut into the vocabulary's pieces in numpy, all distinct
+    words of a chunk at once; others, and those with an apostrophe, are encoded one by one.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.merge = self.whole.model.tokenize
-        self.letters = _byte_letters()
+        self.pieces = PieceIds(self.whole.model.tokenize, CACHE_PIECES)
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
-
-    def part(self, piece: str) -> bytes:
-        if (ids := self.parts.get(piece)) is None:
-            shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            ids = np.array([t.id for t in self.merge(shown)], "<u4").tobytes()
-            if len(self.parts) < CACHE_WORDS // 10:
-                self.parts[piece] = ids
-        return ids
 
     def word(self, word: str) -> bytes:
         if (ids := self.words.get(word)) is None:
             if _PLAIN(word):
-                ids = b"".join([self.part(p) for p in _PIECES(word.lower())])
+                ids = np.array([i for p in _PIECES(word.lower()) for i in self.pieces.ids(p)], "<u4").tobytes()
             else:
                 ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
             if len(self.words) >= CACHE_WORDS:
@@ -104,21 +145,41 @@ class WordEncoder:
             self.words[word] = ids
         return ids
 
+    def plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words without apostrophes, and where each word begins (and the last ends)."""
+        lower = pa.concat_arrays([pc.utf8_lower(words)])
+        ends = np.frombuffer(lower.buffers()[1], np.int32, len(lower) + 1).astype(np.int64)
+        text = lower.buffers()[2]
+        raw = np.frombuffer(text, np.uint8)[: ends[-1]]
+        kind = _KINDS[raw]
+        inner = np.flatnonzero(kind == _INNER)  # the second byte of a letter or of a sign (multiplied by, divided by)
+        kind[inner] = kind[inner - 1] = np.where((raw[inner] == 0x97) | (raw[inner] == 0xB7), _SIGN, _LETTER)
+        cut = np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)]
+        cut[ends[:-1]] = True
+        first = np.flatnonzero(cut)
+        offsets = np.r_[first, len(raw)].astype(np.int32)
+        coded = pc.dictionary_encode(pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), text))
+        ids, at = _spread(*self.pieces.of(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False))
+        return ids, at[np.searchsorted(first, ends)]
+
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins (and the last ends)."""
         split = pc.ascii_split_whitespace(texts)
         coded = pc.dictionary_encode(split.flatten())
-        each = [self.word(w) for w in coded.dictionary.to_pylist()]
-        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(each), "<u4")
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        count = size[code]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(start[code] - (ends - count), count) + np.arange(total)]
+        plain = pc.match_substring_regex(coded.dictionary, _PLAIN_WORD).to_numpy(zero_copy_only=False).astype(bool)
+        size, start = np.zeros(len(plain), np.int64), np.zeros(len(plain), np.int64)
+        flat = np.zeros(0, "<u4")
+        if plain.any():
+            flat, bounds = self.plain(coded.dictionary.filter(pa.array(plain)))
+            start[plain], size[plain] = bounds[:-1], np.diff(bounds)
+        if not plain.all():
+            each = [self.word(w) for w in coded.dictionary.filter(pa.array(~plain)).to_numpy(zero_copy_only=False)]
+            size[~plain] = n = np.fromiter(map(len, each), np.int64, len(each)) // 4
+            start[~plain] = len(flat) + np.cumsum(n) - n
+            flat = np.r_[flat, np.frombuffer(b"".join(each), "<u4")]
+        ids, ends = _spread(flat, start, size, coded.indices.to_numpy(zero_copy_only=False))
         words = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-        return ids, np.r_[0, ends][np.r_[0, np.cumsum(words)]]
+        return ids, ends[np.r_[0, np.cumsum(words)]]
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -126,6 +126,40 @@ def test_packing(spark):
     assert packing.best_fit(helpers.frame(spark, [])).collect() == []
 
 
+def test_ids_of_odd_words_and_of_a_small_cache(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    letters = "aAzZ09'’sStTrRvVeEmMlLdD.,;!<>|&×÷ÀÉßÿþÞªº²½éñ-_ 日İς\t"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(600)] + ["é" * 3000, "'s", "it's", "<|endoftext|>", "", " "]
+    for most in (1 << 19, 50):
+        monkeypatch.setattr(packing, "CACHE_PIECES", most)
+        encoder = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+        for k in range(0, len(texts), 100):
+            own = texts[k : k + 100]
+            ids, bounds = encoder.texts(pa.array(own))
+            want = [encoder.whole.encode(t, add_special_tokens=False).ids for t in own]
+            assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+    assert encoder.texts(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_pieces_are_merged_once():
+    """Words are many, their pieces few: case and punctuation make new words but no new merges."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    encoder = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    asked = []
+    for holder in (encoder, getattr(encoder, "pieces", encoder)):
+        if hasattr(holder, "merge"):
+            holder.merge = lambda p, merge=holder.merge: asked.append(p) or merge(p)
+    real, words = encoder.word, []
+    encoder.word = lambda w: words.append(w) or real(w)
+    encoder.texts(pa.array([f"{a} {a.upper()} {a}, {a}; {a}.{b}" for a in ("alpha", "beta", "gamma") for b in ("one", "two")]))
+    assert sorted(asked) == sorted(["alpha", "beta", "gamma", "one", "two", ",", ";", "."]) and not words
+
+
 def test_supersteps_are_not_compiled(spark, monkeypatch):
     key, seen, real = "spark.sql.codegen.wholeStage", [], packing.sweep
     monkeypatch.setattr(packing, "sweep", lambda *a: seen.append(spark.conf.get(key)) or real(*a))
