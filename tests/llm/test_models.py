@@ -256,3 +256,43 @@ def test_collisions_are_settled(spark):
     who = spark.createDataFrame([("email", f"{i:02d}@h.com") for i in range(100)], "kind string, identity string")
     rows = pii.settle(who, b"k").collect()
     assert len(rows) == 100 and len({r.surrogate for r in rows}) == 100 and any(r.attempt for r in rows)
+
+
+def test_hashing_words_costs_little_more_than_the_hashes():
+    import time
+
+    from ringfold.llm import words
+    from xxhash import xxh3_64_intdigest
+
+    spelt = [b"word%d" % i for i in range(100_000)]
+    column = pa.array([w.decode() for w in spelt])
+
+    def least(f):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            f()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    alone = least(lambda: np.fromiter(map(xxh3_64_intdigest, spelt), np.uint64, len(spelt)))
+    assert least(lambda: maxent.token_hashes(column)) < 4 * alone
+    assert least(lambda: words.hashed(column)) < 4 * alone
+
+
+def test_descent_is_that_of_each_token():
+    rng = np.random.default_rng(4)
+    n = 300
+    rows = np.stack([rng.integers(0, 50, n) + (k << maxent.ROW_BITS) for k in range(maxent.TEMPLATES)], axis=1)
+    y = rng.integers(0, maxent.CLASSES, n)
+    weights = rng.normal(size=(maxent.ROWS + 1, maxent.CLASSES)).astype(np.float32)
+    old, square = weights.copy(), np.zeros_like(weights)
+    maxent.descend(weights, square, rows, y, maxent.Scratch(400))
+    z = old[rows].sum(axis=1) + old[-1]
+    g = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    g[np.arange(n), y] -= 1
+    slope = np.zeros(old.shape)
+    for i in range(n):
+        slope[[*rows[i], -1]] += g[i]
+    want = old - maxent.RATE * slope / np.sqrt(slope**2 + 1)
+    assert np.allclose(weights, want, atol=1e-5) and np.allclose(square, slope**2, atol=1e-3)
